@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import sharding
+from tickloom.llm import minhash_dedup, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,9 +15,13 @@ def op1_shard_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_shard_balance,)}
+    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_minhash_dedup": minhash_dedup.ORACLE}
