@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import minhash_dedup, sharding
+from tickloom.llm import minhash_dedup, mixing, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +19,13 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(documents(spark, sf_dir))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup)}
+    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_dedup": minhash_dedup.ORACLE}
+    return {"op2_minhash_dedup": minhash_dedup.ORACLE, "op3_source_mix": mixing.ORACLE}
