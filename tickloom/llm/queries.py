@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import minhash_dedup, mixing, sharding
+from tickloom.llm import licenses, minhash_dedup, mixing, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,8 +23,12 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(documents(spark, sf_dir))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix)}
+    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
