@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import licenses, minhash_dedup, mixing, sharding
+from tickloom.llm import licenses, minhash_dedup, mixing, packing, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +27,12 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_documents(documents(spark, sf_dir))
 
 
+def op5_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan)}
+    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan, op5_pack_sequences)}
 
 
 def oracle_sql() -> dict[str, str]:
