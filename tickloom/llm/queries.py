@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import licenses, minhash_dedup, mixing, packing, sharding, toxicity
+from tickloom.llm import language, licenses, minhash_dedup, mixing, packing, sharding, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,8 +35,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_documents(documents(spark, sf_dir))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan, op5_pack_sequences, op6_toxicity)}
+    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan, op5_pack_sequences, op6_toxicity, op7_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
