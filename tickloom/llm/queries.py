@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import language, licenses, minhash_dedup, mixing, packing, sharding, toxicity
+from tickloom.llm import language, licenses, minhash_dedup, mixing, packing, quality, secret_scan, sharding, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,8 +39,16 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_documents(documents(spark, sf_dir))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(documents(spark, sf_dir))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan, op5_pack_sequences, op6_toxicity, op7_language_id)}
+    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan, op5_pack_sequences, op6_toxicity, op7_language_id, op8_secret_scan, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
