@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import language, licenses, minhash_dedup, mixing, packing, quality, secret_scan, sharding, toxicity
+from tickloom.llm import imatch, language, licenses, minhash_dedup, mixing, packing, quality, secret_scan, sharding, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,9 +47,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir))
 
 
+def op10_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_documents(documents(spark, sf_dir))
+
+
 def queries():
-    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan, op5_pack_sequences, op6_toxicity, op7_language_id, op8_secret_scan, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_shard_balance, op2_minhash_dedup, op3_source_mix, op4_license_scan, op5_pack_sequences, op6_toxicity, op7_language_id, op8_secret_scan, op9_quality_rules, op10_imatch)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_dedup": minhash_dedup.ORACLE, "op3_source_mix": mixing.ORACLE}
+    return {"op2_minhash_dedup": minhash_dedup.ORACLE, "op3_source_mix": mixing.ORACLE, "op10_imatch": imatch.ORACLE}
