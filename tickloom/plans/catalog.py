@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from tickloom.plans import base
+from tickloom.plans import indicator_queries as _indicators  # noqa: F401
 
-def queries():
-    return {}
 
+def queries() -> dict[str, base.Query]:
+    return dict(base.QUERIES)
 
-def oracle_sql():
-    return {}
+
+def oracle_sql() -> dict[str, str]:
+    return dict(base.ORACLES)
