@@ -126,33 +126,51 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.large_binary()).cast(pa.binary())], ["rep", "shingles"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted: a lead's own set, then the sets of its pairs. Only the lead's set is held."""
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each pair's exact comparison. Rows come sorted: a lead's own set, then the sets of its pairs; one lead set is held.
+
+    The members of a lead's group that differ from it are described by the difference to it, elements of their own first,
+    then those they lack, each by hash: `tokens` is as much of its beginning as near_duplicates needs.
+    """
     at, held = None, None
     for batch in batches:
-        u, v = [], []
-        for lead, salt, other, blob in zip(*(batch.column(c).to_pylist() for c in ("lead", "salt", "other", "shingles")), strict=True):
+        rows = []
+        for lead, salt, other, crowd, blob in zip(*(batch.column(c).to_pylist() for c in ("lead", "salt", "other", "crowd", "shingles")), strict=True):
             s = np.frombuffer(blob, np.uint64)
             if other is None:
                 at, held = (lead, salt), s
-            elif at == (lead, salt):
-                i = np.searchsorted(held, s)
-                i[i == len(held)] = 0
-                both = int((held[i] == s).sum())
-                if 100 * both >= SIMILAR * (len(s) + len(held) - both):
-                    u.append(lead)
-                    v.append(other)
-        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
-
-
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of (lead, other) those that are similar on their full sets. A lead's set goes once to each of its salts."""
+                continue
+            if at != (lead, salt):
+                continue
+            i = np.searchsorted(held, s)
+            i[i == len(held)] = 0
+            shared = held[i] == s
+            both = int(shared.sum())
+            d = len(s) + len(held) - 2 * both
+            linked = 100 * both >= SIMILAR * (len(s) + len(held) - both)
+            tokens, short = None, 0
+            if crowd:
+                away = (100 - SIMILAR) * len(s) // SIMILAR  # at most so many elements are in only one of two similar sets
+                lacking = np.ones(len(held), bool)
+                lacking[i[shared]] = False
+                order = np.concatenate([s[~shared], held[lacking]])
+                short = min(d, away + 1, d - -(-d * SIMILAR // (100 + SIMILAR)) + 1) if d else 0
+                tokens = order[: short if linked else min(d, away + 1)].view(np.int64)
+            rows.append((lead, other, len(s), d, linked, tokens, short))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.int32()]
+        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lead", "other", "n", "d", "linked", "tokens", "short"])
+
+
+def _against_leads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Compare (lead, other, crowd) on their full sets. A lead's set goes once to each of its salts."""
     spread = F.ceil(F.count(F.lit(1)).cast("double") / SALT_ROWS).cast("int")
     leads = pairs.groupBy("lead").agg(spread.alias("salts"))
-    own = leads.join(sets, leads.lead == sets.rep).select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("other"), "shingles")
-    theirs = pairs.join(leads, "lead").join(sets, F.col("other") == F.col("rep")).select("lead", F.pmod(F.xxhash64("other"), F.col("salts")).cast("int").alias("salt"), "other", "shingles")
+    none = F.lit(None).cast("long")
+    own = leads.join(sets, leads.lead == sets.rep).select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), none.alias("other"), F.lit(False).alias("crowd"), "shingles")
+    theirs = pairs.join(leads, "lead").join(sets, F.col("other") == F.col("rep")).select("lead", F.pmod(F.xxhash64("other"), F.col("salts")).cast("int").alias("salt"), "other", "crowd", "shingles")
     rows = own.union(theirs).repartition("lead", "salt").sortWithinPartitions("lead", "salt", F.col("other").asc_nulls_first())
-    return rows.mapInArrow(_confirm, "u long, v long")
+    return rows.mapInArrow(_compared, "lead long, other long, n long, d long, linked boolean, tokens array<long>, short int")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -162,59 +180,49 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     row of docs. Documents without words link with nothing. Equal sets are one vertex (their smallest doc_id), so copies are
     never paired. Rows that repeat a doc_id are rows of their own. Other columns are left out.
 
-    In each bucket of a band all members are compared with a lead: the member that shares most buckets with others, which
-    in a group of edited copies is the original. After two such rounds buckets that still hold several components get all
-    their pairs between components (of comparable size), so that no link is lost; most buckets have none left.
+    In each bucket of a band every member x is compared with a lead l: the member that shares most buckets with others, which
+    in a group of edited copies is the original. Two members x, y of a bucket that are both linked to its lead are in one
+    component anyway. Any other similar pair differs from the lead in similar ways, so it is found by a prefix-filter join on
+    the differences dx = x ^ l and dy = y ^ l (symmetric differences), which are short where sets are alike and hold mostly
+    elements of one member only. With c = 15/185, x ~ y means |x ^ y| = |dx ^ dy| <= c (|x| + |y|). If x is not linked to l:
+    - dx and dy must share more than |dy| * (1 - c) / 2 elements, so the first |dy| * (1 + c) / 2 + 1 of dy must meet dx;
+    - at most 15/85 |x| elements of dx are outside dy, so the first 15/85 |x| + 1 of dx must meet those of dy;
+    - at the first shared element, what remains of both must suffice for the overlap that is required.
+    All three hold for every similar pair, so none is lost, and no group is paired with itself.
     """
     spark = docs.sparkSession
     python_ready(spark)
     texts = docs.select("doc_id", "text")
     base = materialize(texts.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, bands array<long>"), "signatures")
-    reps = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    reps = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     reps = materialize(reps, "sets")
-    spots = reps.select("rep", "n", F.explode("bands").alias("bucket"))
+    spots = reps.select("rep", F.explode("bands").alias("bucket"))
     shared = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = spots.join(shared, "bucket")
+    members = materialize(spots.join(shared, "bucket"), "members")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    members = materialize(members.join(weight, "rep").select("rep", "n", "bucket", "weight"), "members")
+    members = members.join(weight, "rep")
+    lead = members.groupBy("bucket").agg(F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"))).alias("best"))
+    met = members.join(lead.select("bucket", (-F.col("best.minus")).alias("lead")), "bucket").where("rep <> lead")
+    pairs = materialize(met.groupBy("lead", F.col("rep").alias("other")).agg(F.max(F.col("size") > 2).alias("crowd")), "pairs")
     wanted = members.select("rep").distinct().join(reps.select("rep", "set_key"), "rep")
     sets = texts.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "set_key", "text")
     sets = materialize(sets.mapInArrow(_sets, "rep long, shingles binary").dropDuplicates(["rep"]), "shingles")
-    comparable = F.expr(f"100 * least(n, m) >= {SIMILAR} * greatest(n, m)")
-
-    def starred(rows: DataFrame) -> DataFrame:
-        lead = rows.groupBy("bucket").agg(F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"), F.col("n"), F.col("component"))).alias("best"))
-        lead = lead.select("bucket", (-F.col("best.minus")).alias("lead"), F.col("best.n").alias("m"), F.col("best.component").alias("theirs"))
-        met = rows.join(lead, "bucket").where("component <> theirs").where(comparable)
-        return met.select("lead", F.col("rep").alias("other")).distinct()
-
-    def divided(found: DataFrame) -> DataFrame:
-        """Members of the buckets that hold several components, with each one's component."""
-        now = components(found).withColumnRenamed("id", "rep")
-        rows = members.join(now, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        many = rows.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("bucket")
-        return materialize(rows.join(many, "bucket"), "divided")
-
-    found = materialize(_verified(materialize(starred(members.withColumn("component", F.col("rep"))), "pairs"), sets), "found")
-    # The second lead of a bucket is the most central member outside the first lead's component.
-    rows = divided(found)
-    first = rows.groupBy("bucket").agg(F.max_by("component", F.struct(F.col("weight"), -F.col("rep"))).alias("first"))
-    outer = rows.join(first, "bucket")
-    lead = outer.where("component <> first").groupBy("bucket").agg(F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"), F.col("n"), F.col("component"))).alias("best"))
-    lead = lead.select("bucket", (-F.col("best.minus")).alias("lead"), F.col("best.n").alias("m"), F.col("best.component").alias("theirs"))
-    pairs = rows.join(lead, "bucket").where("component <> theirs").where(comparable).select("lead", F.col("rep").alias("other")).distinct()
-    found = materialize(found.union(_verified(materialize(pairs, "pairs"), sets)), "found")
-    rows = divided(found)
-    other = rows.select("bucket", F.col("rep").alias("other"), F.col("n").alias("m"), F.col("component").alias("theirs"))
-    pairs = rows.withColumnRenamed("rep", "lead").join(other, "bucket").where("lead < other and component <> theirs").where(comparable)
-    found = materialize(found.union(_verified(materialize(pairs.select("lead", "other").distinct(), "pairs"), sets)), "found")
-    labels = components(found).withColumnRenamed("id", "rep")
+    compared = materialize(_against_leads(pairs, sets), "compared")
+    crowds = compared.where("tokens is not null").groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("all_linked")).where("size > 1 and not all_linked")
+    open_rows = compared.where("tokens is not null").join(crowds.select("lead"), "lead")
+    one = open_rows.where("not linked").select("lead", F.col("other").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), F.posexplode("tokens").alias("i", "token"))
+    two = open_rows.select("lead", F.col("other").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.posexplode(F.expr("slice(tokens, 1, short)")).alias("j", "token"))
+    least, most = 100 - SIMILAR, 100 + SIMILAR
+    enough = F.expr(f"x <> y and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny)")
+    near = one.join(two, ["lead", "token"]).where(enough).select(F.least("x", "y").alias("lead"), F.greatest("x", "y").alias("other"), F.lit(False).alias("crowd")).distinct()
+    further = _against_leads(materialize(near, "pairs"), sets)
+    links = compared.where("linked").select(F.col("lead").alias("u"), F.col("other").alias("v")).union(further.where("linked").select("lead", "other"))
+    labels = components(links).withColumnRenamed("id", "rep")
     ends = reps.select("set_key", "rep").join(labels, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
     out = base.select("doc_id", "n_shingles", "set_key").join(ends, "set_key", "left")
     component = F.coalesce("component_id", "doc_id")
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
-    release(spark, members, sets)
-    return out
+    release(spark, sets)
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
 
 
 ORACLE = r"""
