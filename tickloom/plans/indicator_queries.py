@@ -298,12 +298,12 @@ def adx(spark, d):
     return rounded(K.add_adx(hourly(spark, d), [14]).drop("high", "low", "close"))
 
 
-@query(f"""with recursive {_ATR.replace("14", "10").replace("* 13", "* 9")}, b as (select t.symbol, t.ts, t.rn, t.close, lag(t.close) over (partition by t.symbol order by t.ts) as pc, (high + low) / 2 + 3.0 * a as ub, (high + low) / 2 - 3.0 * a as lb from t join e on e.symbol = t.symbol and e.rn = t.rn),
-  s(symbol, rn, u, v, dir) as (select symbol, rn, ub, lb, case when close <= ub then -1 else 1 end from b where rn = 10
+@query(f"""with recursive {_ATR}, b as (select t.symbol, t.ts, t.rn, t.close, lag(t.close) over (partition by t.symbol order by t.ts) as pc, (high + low) / 2 + 2.5 * a as ub, (high + low) / 2 - 2.5 * a as lb from t join e on e.symbol = t.symbol and e.rn = t.rn),
+  s(symbol, rn, u, v, dir) as (select symbol, rn, ub, lb, case when close <= ub then -1 else 1 end from b where rn = 14
     union all select symbol, rn, u, v, case when pd = -1 then case when close > u then 1 else -1 end else case when close < v then -1 else 1 end end from (
       select b.symbol, b.rn, b.close, s.dir as pd, case when b.ub < s.u or b.pc > s.u then b.ub else s.u end as u, case when b.lb > s.v or b.pc < s.v then b.lb else s.v end as v
       from s join b on b.symbol = s.symbol and b.rn = s.rn + 1))
-select t.symbol, t.ts, round(case when dir = 1 then v when dir = -1 then u end, 9) as supertrend_p10_m30, coalesce(dir, 0)::smallint as supertrend_p10_m30_dir, round(u, 9) as supertrend_p10_m30_upper, round(v, 9) as supertrend_p10_m30_lower
+select t.symbol, t.ts, round(case when dir = 1 then v when dir = -1 then u end, 6) as supertrend_p14_m25, coalesce(dir, 0)::smallint as supertrend_p14_m25_dir, round(u, 6) as supertrend_p14_m25_upper, round(v, 6) as supertrend_p14_m25_lower
 from t left join s on s.symbol = t.symbol and s.rn = t.rn""")
 def supertrend(spark, d):
-    return rounded(K.add_supertrend(hourly(spark, d), [(10, 3.0)]).drop("high", "low", "close"), 9)
+    return rounded(K.add_supertrend(hourly(spark, d), [(14, 2.5)]).drop("high", "low", "close"))
