@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tickloom.plans import base
-from tickloom.plans import indicator_queries, option_queries, relational_queries, table_queries  # noqa: F401
+from tickloom.plans import book_queries, indicator_queries, option_queries, relational_queries, table_queries  # noqa: F401
 
 
 def queries() -> dict[str, base.Query]:
