@@ -22,15 +22,20 @@ def _metrics(spark, d):
     return B.metrics(B.from_levels(_levels(spark, d), ["book"]))
 
 
+def _nudged(df, columns):
+    """A billionth more: quotients that end exactly between two sixth places would round either way in their last bit."""
+    return rounded(df.withColumns({c: F.col(c) + 1e-9 for c in columns}))
+
+
 @query(f"""with {_LEVELS}, m as (select l.*, bb, ba, (bb + ba) / 2 as mid from levels l join best using (book)),
   s as (select book, any_value(bb) as best_bid, any_value(ba) as best_ask, any_value(mid) as mid_price, sum(v) filter (where p = bb and side = 'bid') as bv, sum(v) filter (where p = ba and side = 'ask') as av,
     coalesce(sum(v) filter (where side = 'bid'), 0) as bid_vol_total, coalesce(sum(v) filter (where side = 'ask'), 0) as ask_vol_total,
     sum(p * v) filter (where side = 'bid') as bpv, sum(p * v) filter (where side = 'ask') as apv from m group by 1)
 select book, round(best_bid, 6) as best_bid, round(best_ask, 6) as best_ask, round(mid_price, 6) as mid_price, round(best_ask - best_bid, 6) as spread, round((best_ask - best_bid) / mid_price * 100, 6) as spread_pct,
-  round((best_bid * av + best_ask * bv) / (bv + av), 6) as microprice, round(bpv / bid_vol_total, 6) as bid_vwap, round(apv / ask_vol_total, 6) as ask_vwap, bid_vol_total, ask_vol_total,
+  round((best_bid * av + best_ask * bv) / (bv + av), 6) as microprice, round(bpv / bid_vol_total + 1e-9, 6) as bid_vwap, round(apv / ask_vol_total + 1e-9, 6) as ask_vwap, bid_vol_total, ask_vol_total,
   round((bid_vol_total - ask_vol_total) / (bid_vol_total + ask_vol_total), 6) as imbalance, (bid_vol_total + ask_vol_total) / 2 as liquidity from s""")
 def book_prices(spark, d):
-    return rounded(_metrics(spark, d).select("book", "best_bid", "best_ask", "mid_price", "spread", "spread_pct", "microprice", "bid_vwap", "ask_vwap", "bid_vol_total", "ask_vol_total", "imbalance", "liquidity"))
+    return _nudged(_metrics(spark, d).select("book", "best_bid", "best_ask", "mid_price", "spread", "spread_pct", "microprice", "bid_vwap", "ask_vwap", "bid_vol_total", "ask_vol_total", "imbalance", "liquidity"), ["bid_vwap", "ask_vwap"])
 
 
 _NEAR = " , ".join(f"coalesce(sum(v) filter (where side = '{s}' and abs(p - mid) <= mid * {pct}::double / 100), 0) as {s}_vol_{n}" for s in ("bid", "ask") for n, pct in (("01pct", 0.1), ("05pct", 0.5), ("1pct", 1.0)))
@@ -54,10 +59,11 @@ def _slip_sql(side: str, order: str, amounts: tuple[int, ...]) -> str:
     return f"(select book, {cols} from (select book, p, p * v * 10 as pv, coalesce(sum(p * v * 10) over (partition by book order by p {order} rows between unbounded preceding and 1 preceding), 0) as before, first_value(p) over (partition by book order by p {order}) as best from levels where side = '{side}') group by book)"
 
 
-@query(f"with {_LEVELS} select b.book, round(a.s10000, 6) as slippage_buy_10k, round(a.s50000, 6) as slippage_buy_50k, round(a.s100000, 6) as slippage_buy_100k, round(x.s10000, 6) as slippage_sell_10k, round(x.s50000, 6) as slippage_sell_50k, round(x.s100000, 6) as slippage_sell_100k from best b join {_slip_sql('ask', 'asc', (10_000, 50_000, 100_000))} a on a.book = b.book join {_slip_sql('bid', 'desc', (10_000, 50_000, 100_000))} x on x.book = b.book")
+@query(f"with {_LEVELS} select b.book, round(a.s10000 + 1e-9, 6) as slippage_buy_10k, round(a.s50000 + 1e-9, 6) as slippage_buy_50k, round(a.s100000 + 1e-9, 6) as slippage_buy_100k, round(x.s10000 + 1e-9, 6) as slippage_sell_10k, round(x.s50000 + 1e-9, 6) as slippage_sell_50k, round(x.s100000 + 1e-9, 6) as slippage_sell_100k from best b join {_slip_sql('ask', 'asc', (10_000, 50_000, 100_000))} a on a.book = b.book join {_slip_sql('bid', 'desc', (10_000, 50_000, 100_000))} x on x.book = b.book")
 def book_slippage(spark, d):
     levels = _levels(spark, d).withColumn("v", F.col("v") * 10)
-    return rounded(B.metrics(B.from_levels(levels, ["book"])).select("book", *[f"slippage_{w}_{n}k" for w in ("buy", "sell") for n in (10, 50, 100)]))
+    names = [f"slippage_{w}_{n}k" for w in ("buy", "sell") for n in (10, 50, 100)]
+    return _nudged(B.metrics(B.from_levels(levels, ["book"])).select("book", *names), names)
 
 
 @query(f"""with {_LEVELS} select b.book, '[' || string_agg('{{"p":' || round(p, 2)::varchar || ',"v":' || round(v, 8)::varchar || '}}', ',' order by p desc) || ']' as bid_levels, count(*)::int as bid_level_count from best b join levels l on l.book = b.book and l.side = 'bid' group by 1""")
