@@ -1,0 +1,365 @@
+"""Corpus operators against brute-force versions, and on nulls, empty and long texts, repeated rows and empty tables."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import DATA, duck, same
+from tickloom.llm import imatch, language, licenses, minhash_dedup, mixing, packing, quality, queries, secret_scan, sharding, toxicity
+
+SHAPE = "doc_id long, text string, lang string, source string, n_chars long, shard int, copy int, spans string"
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(60_000))
+BASE = " ".join(f"alpha{i}" for i in range(120))
+TEXTS = [
+    "The quick brown fox. Licensed under the Apache License, Version 2.0. token = \"abcdef0123456789abcd\"",
+    "", None, "   \n\t ", "x", "Zwei drei vier", LONG, BASE, BASE + " omega", BASE.upper(), BASE.replace("alpha60", "beta60"), BASE,
+    "é ñ ü 漢字 " * 30, "a b c d e f g h " * 10, "line one is here\n" * 12, "CC BY 4.0 and the GNU General Public License; MIT License, mit-license",
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rows = [(i, t, ["en", None, "de"][i % 3], ["s0", "s0", None][i % 3], len(t or ""), 99, 99, "clash") for i, t in enumerate(TEXTS)]
+    rows += [rows[7], rows[7], (None, BASE, "en", "s0", None, None, None, None)]
+    return spark.createDataFrame(rows, SHAPE)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SHAPE)
+
+
+def rows(df):
+    return df.collect()
+
+
+def brute_sets(texts):
+    def one(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    return [one(t) for t in texts]
+
+
+def brute_components(ids, sets):
+    root = {i: i for i in range(len(ids))}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 85 * len(sets[i] | sets[j]):
+                a, b = sorted((find(i), find(j)), key=lambda k: ids[k])
+                root[b] = a
+    least = collections.defaultdict(list)
+    for i in range(len(ids)):
+        least[find(i)].append(ids[i])
+    return [min(least[find(i)]) for i in range(len(ids))]
+
+
+def test_sharding(spark, odd, none, small):
+    for df in (odd, spark.read.parquet(f"{small}/documents.parquet")):
+        got = rows(sharding.shard_documents(df))
+        sizes = collections.Counter(r.shard for r in got)
+        assert len(got) == df.count() and max(sizes.values()) - min(sizes.get(s, 0) for s in range(16)) <= 1
+        slots = collections.defaultdict(list)
+        for r in got:
+            slots[r.shard].append(r.slot)
+        assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    text = {r.doc_id: r.text for r in rows(df)}
+    assert all(r.size == len(text[r.doc_id].encode()) + 1 and r.text_crc32 == zlib.crc32(text[r.doc_id].encode()) for r in got)
+    groups = collections.defaultdict(set)
+    for r in got:
+        groups[text[r.doc_id]].add(r.shard)
+    copies = {t for t, n in collections.Counter(text.values()).items() if n > 1}
+    assert sum(len(groups[t]) == 1 for t in copies) >= 0.9 * len(copies)
+    assert rows(sharding.shard_documents(none)) == []
+
+
+def test_sharding_splits_a_group_larger_than_a_shard(spark):
+    df = spark.createDataFrame([(i, "same" if i < 200 else str(i)) for i in range(480)], "doc_id long, text string")
+    got = rows(sharding.shard_documents(df))
+    by = collections.Counter(r.shard for r in got if r.doc_id < 200)
+    assert set(collections.Counter(r.shard for r in got).values()) == {30}
+    assert sum(n for _, n in by.most_common(7)) >= 190  # seven shards hold 200 rows
+
+
+def test_flows_never_overfill():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        wanted = {(i, j): int(rng.integers(0, 50)) for i in range(6) for j in range(6) if i != j}
+        room = [int(x) for x in rng.integers(0, 20, 6)]
+        x = sharding.flows(wanted, room)
+        for j in range(6):
+            assert sum(v for (_, b), v in x.items() if b == j) - sum(v for (a, _), v in x.items() if a == j) <= room[j]
+        assert all(0 < v <= wanted[k] for k, v in x.items())
+
+
+def test_near_duplicates(spark, odd, none):
+    rng = np.random.default_rng(11)
+    words = [f"t{i}" for i in range(150)]
+    texts = [" ".join(words)]
+    for i in range(150):  # copies with one to eight edits: chains near the limit of similarity
+        w = list(words)
+        for j in rng.choice(150, int(rng.integers(1, 9)), replace=False):
+            w[j] = f"e{i}x{j}"
+        texts.append(" ".join(w))
+    texts += [" ".join(f"z{i}y{j}" for j in range(60)) for i in range(40)] + ["one two three", "One TWO three", "one two"]
+    df = spark.createDataFrame([(1000 - i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    ids = [1000 - i for i in range(len(texts))]
+    want = dict(zip(ids, brute_components(ids, brute_sets(texts)), strict=True))
+    got = rows(minhash_dedup.near_duplicates(df))
+    assert {r.doc_id: r.component_id for r in got} == want and all(r.kept == (r.doc_id == r.component_id) for r in got)
+    out = [r for r in rows(minhash_dedup.near_duplicates(odd)) if r.doc_id is not None]
+    by = {r.doc_id: r for r in out}
+    assert len(out) == len(TEXTS) + 2 and by[1].n_shingles == by[2].n_shingles == 0 and by[1].kept and by[2].kept
+    assert by[8].component_id == by[9].component_id == by[11].component_id == 7 and by[10].component_id == 7
+    assert rows(minhash_dedup.near_duplicates(none)) == []
+
+
+def test_mixing(spark, odd, none):
+    got = rows(mixing.replicate(odd, {"s0": 0.5, None: 0.5}))
+    assert {"copy", "rate", "shuffle_key"} <= set(got[0].__fields__) if got else True
+    n = 4000
+    df = spark.createDataFrame([(i, "x" * 10, "a" if i % 4 else "b") for i in range(n)], "doc_id long, text string, source string")
+    out = rows(mixing.replicate(df, {"a": 0.5, "b": 0.5}, epochs=2.0))
+    share = collections.Counter(r.source for r in out)
+    assert abs(share["a"] / len(out) - 0.5) < 0.03 and abs(len(out) - 2 * n) < 0.05 * n
+    for r in out[:50]:  # the quantile of the hash, by hand
+        u = (int(hashlib.md5(f"mix-1:{r.doc_id}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        k, p, c = 0, math.exp(-r.rate), math.exp(-r.rate)
+        while c < u:
+            k += 1
+            p *= r.rate / k
+            c += p
+        assert sum(x.doc_id == r.doc_id for x in out) == k
+    assert rows(mixing.replicate(none)) == []
+
+
+PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+
+
+def brute_base(text):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+    at = [(i, label) for p, label in PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
+    return len(w), sorted(at)
+
+
+def test_licenses(spark, odd, none, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    for df in (odd.where("doc_id is not null").dropDuplicates(["doc_id"]), docs):
+        text = {r.doc_id: r.text for r in rows(df)}
+        for r in rows(licenses.scan_documents(df)):
+            n, at = brute_base(text[r.doc_id])
+            assert (r.n_words, r.n_base) == (n, len(at))
+            assert (r.first_word, r.last_word) == ((at[0][0], at[-1][0]) if at else (None, None))
+            assert r.base_labels == ",".join(sorted({x for _, x in at})) and {x for _, x in at} <= set(r.labels.split(","))
+            assert 0 <= r.score <= 1
+    assert rows(licenses.scan_documents(none)) == []
+
+
+def test_license_rules_and_suppression(spark):
+    assert len(licenses.rules()) >= 200
+    texts = ["SPDX-License-Identifier: Apache-2.0", "under the BSD 3-Clause License", "the Eclipse Public License 2.0 and the Boost Software License", "licensed under the terms of the Mozilla Public License Version 2.0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in rows(licenses.scan_documents(df))}
+    assert got[0].labels == "apache" and got[0].score == 1.0
+    assert got[1].labels == "bsd-3" and got[2].labels == "boost,epl" and got[3].labels == "mpl"
+    for r in rows(licenses.scan(df)):  # no kept span lies in one of the same or a better priority
+        for a in r.found:
+            assert not any(b.start <= a.start and a.stop <= b.stop and b.priority <= a.priority and b != a for b in r.found)
+
+
+def test_packing(spark, odd, none):
+    df = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
+    text = {r.doc_id: r.text for r in rows(df)}
+    got = rows(packing.pack(df))
+    tokenizer = packing._tokenizer(packing.default_tokenizer())
+    pieces, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    for doc, t in text.items():
+        ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        at = 0
+        for r in sorted(pieces[doc], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    for s in sequences.values():
+        at = 0
+        for r in sorted(s, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.WINDOW
+    assert rows(packing.pack(none)) == []
+
+
+def test_packing_plan_uses_the_histogram_up():
+    rng = np.random.default_rng(5)
+    for scale in (1, 40, 3000):
+        h = np.concatenate([[0], rng.poisson(rng.gamma(0.7, scale, 256))]).astype(np.int64)
+        plans = packing.plan(h)
+        used = np.zeros_like(h)
+        for kinds, times in plans:
+            assert sum(kinds) <= 256 and times > 0
+            np.add.at(used, list(kinds), times)
+        assert (used == h).all()
+        least = max((h * np.arange(257)).sum() / 256, h[129:].sum())  # no two of over half a window share one
+        assert sum(t for _, t in plans) <= 1.1 * least + 256
+
+
+def test_toxicity(spark, none):
+    d = f"{DATA}/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    held = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(4)) == 0
+    chain = toxicity.train(docs, labels.where(~held))
+    got = rows(toxicity.classify(docs.withColumn("rejected", F.lit(7)), chain).join(labels.where(held).select("doc_id", "toxic"), "doc_id"))
+    clean = [r for r in got if not r.toxic]
+    assert sum(r.rejected for r in clean) <= 0.05 * len(clean)
+    english = [r for r in got if r.toxic and r.lang == "en" and re.search("trash|pathetic|idiot|worthless|disgusting|stupid|clown|loser|scum|moron", r.text)]
+    assert sum(r.rejected for r in english) >= 0.75 * len(english)
+    assert rows(toxicity.classify(none, chain)) == []
+    empty = toxicity.train(none, labels.limit(0))
+    assert not any(r.rejected for r in rows(toxicity.classify(docs.limit(20), empty)))
+
+
+def test_toxicity_on_odd_rows(spark, odd):
+    labels = spark.createDataFrame([(0, 1, 1), (5, 1, 0), (5, 0, 0), (77, 1, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    got = rows(toxicity.classify_documents(odd, labels))
+    assert len(got) == odd.count() and all(0 <= r.p_toxic <= 1 for r in got)
+
+
+def test_chain_feeds_earlier_probabilities(spark):
+    docs = spark.createDataFrame([(i, "bad words " + str(i) if i % 2 else "fine words") for i in range(200)], "doc_id long, text string").withColumn("text", F.concat("text", F.lit(" "), F.col("doc_id").cast("string")))
+    labels = spark.createDataFrame([(i, 1 - i % 2, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    chain = toxicity.train(docs, labels)
+    assert len(chain.dense[1]) == len(chain.dense[0]) + 1  # the second model has the first one's probability
+    assert chain.score("bad words")[1] > 0.8 > 0.2 > chain.score("fine words")[1]
+
+
+def test_language(spark, odd, none):
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
+    got = rows(language.identify_documents(docs).join(docs.select("doc_id", "lang"), "doc_id"))
+    held = [r for r in got if r.held_out]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert sum(r.lang_pred == r.lang for r in held) >= 0.97 * len(held)
+    by = {r.doc_id: r for r in rows(language.identify_documents(odd))}
+    assert by[1].lang_pred == by[2].lang_pred == by[3].lang_pred == "und" and by[2].score == 0.0
+    assert {r.lang_pred for r in by.values()} <= {"en", "de", "und"}
+    assert rows(language.identify_documents(none)) == []
+    mute = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in rows(language.identify_documents(mute))} == {"und"}
+
+
+def brute_secrets(text):
+    out = []
+    for kind, pattern, group, least in (("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12), ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16)):
+        out += [(kind, *m.span()) for m in re.finditer(pattern, text or "", re.I | re.A if kind == "assign" else 0) if len(m[group]) >= least]
+    return sorted(out, key=lambda s: (s[1], secret_scan.ORDER[s[0]]))
+
+
+def test_secrets(spark, odd, none, small):
+    for df in (odd.where("doc_id is not null"), spark.read.parquet(f"{small}/documents.parquet")):
+        text = {r.doc_id: r.text for r in rows(df)}
+        for r in rows(secret_scan.scan_documents(df)):
+            base = brute_secrets(text[r.doc_id])
+            assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[0] == k for s in base) for k in ("assign", "access", "hex")]
+            named = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+            assert r.base_sha256 == hashlib.sha256(named.encode()).hexdigest()
+            assert [x for x in r.spans.split(",") if x and not x.startswith("decoded")] == [x for x in named.split(",") if x]
+    assert rows(secret_scan.scan_documents(none)) == []
+    assert rows(secret_scan.redacted(none)) == []
+
+
+def test_nested_layers_map_to_the_text():
+    import base64
+    import gzip
+    import urllib.parse
+
+    key = "AKIA" + "ABCDEFGHIJ123456"
+    inner = base64.b64encode(gzip.compress(f"here {key} end".encode())).decode()
+    text = "é before " + urllib.parse.quote(base64.b64encode(f"blob {inner} blob".encode()).decode(), safe="") + " after"
+    spans = secret_scan.find_secrets(text)
+    assert spans and spans[0][0] == "decoded_access" and text[spans[0][1] :].startswith(text[9:20])
+    assert secret_scan.redact(text, spans).endswith(" after") and "é before [SECRET]" in secret_scan.redact(text, spans)
+    escaped = "x " + "".join(f"\\u{ord(c):04x}" for c in 'password="hunter2hunter2"') + " y"
+    (kind, a, b) = secret_scan.find_secrets(escaped)[0]
+    assert kind == "decoded_assign" and escaped[a:b].startswith("\\u0070") and b <= len(escaped) - 2
+    assert secret_scan.find_secrets("%25" * 5000 + "41") == []  # each layer peels one level; ends
+    assert secret_scan.find_secrets("tokKen = abcdefghijklmnop") == []  # a Kelvin sign is no k
+
+
+def test_quality(spark, odd, none):
+    for r, text in ((quality.measure(t), t) for t in TEXTS if t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = collections.Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+        hit = {j for i in range(len(w) - 7) if windows[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}
+        lines, dup, seen = text.split("\n"), 0, set()
+        for x in lines:
+            if re.search(r"[^\x20\x09-\x0D]", x):
+                dup += x in seen
+            seen.add(x)
+        assert r[:5] == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(hit))
+    got = rows(quality.judge(odd))
+    assert len(got) == odd.count() and all(r.base_failed for r in got if r.n_words < 20) and not any(r.kept for r in got if r.base_failed)
+    assert rows(quality.judge(none)) == []
+
+
+def test_quality_keeps_clean_groups_and_drops_outliers(spark):
+    fine = [(i, " ".join(f"word{i}a{j}" for j in range(60)), "en", "s") for i in range(200)]
+    junk = [(900 + i, " ".join(f"j{i}b{j}$$$" for j in range(60)), "en", "s") for i in range(5)]
+    got = {r.doc_id: r.kept for r in rows(quality.judge(spark.createDataFrame(fine + junk, "doc_id long, text string, lang string, source string")))}
+    assert all(got[i] for i, *_ in fine) and not any(got[i] for i, *_ in junk)
+
+
+def test_sketches_merge(spark):
+    base = spark.range(1000).selectExpr("'g' as lang", *[f"id * id as {m}" for m in quality.METRICS])
+    whole = rows(quality.sketches(base, ["lang"]))
+    parts = quality.sketches(base.where("symbol_rate % 2 = 0"), ["lang"]).union(quality.sketches(base.where("symbol_rate % 2 = 1"), ["lang"]))
+    merged = rows(parts.groupBy("lang", "metric", "value").agg(F.sum("n").alias("n")))
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, merged))
+    q = rows(quality.quantiles(quality.sketches(base, ["lang"]), ["lang"]))[0]
+    assert abs(q.q3 - 749**2) <= 749**2 / 16
+
+
+def test_fingerprints(spark, odd, none):
+    df = odd.where("doc_id is not null").dropDuplicates(["doc_id"])
+    text = {r.doc_id: r.text or "" for r in rows(df)}
+    got = {r.doc_id: r for r in rows(imatch.fingerprint_documents(df))}
+    order = sorted(text, reverse=True)
+    for i, doc in enumerate(order):
+        t, nxt = text[doc], text[order[(i + 1) % len(order)]]
+        edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+        r = got[doc]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert 0 <= r.near_edited <= 1 and r.near_next == sum(a == b for a, b in zip(r.fingerprint.split(","), got[order[(i + 1) % len(order)]].fingerprint.split(","), strict=True)) / 8
+    assert got[7].fingerprint == got[11].fingerprint == got[9].fingerprint
+    assert rows(imatch.fingerprint_documents(none)) == []
+    assert len(rows(imatch.fingerprint_documents(odd))) == odd.count()
+
+
+def test_neighbours_across_buckets(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "NEIGHBOURS", 7)
+    rng = np.random.default_rng(2)
+    ids = sorted({int(x) for x in rng.integers(0, 10_000, 300)})
+    df = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
+    got = {r.doc_id: r.next_text for r in rows(imatch.with_next(df, ["text"]))}
+    down = ids[::-1]
+    assert got == {d: f"t{down[(i + 1) % len(down)]}" for i, d in enumerate(down)}
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_oracle(spark, small, name):
+    same(queries.queries()[name](spark, small), duck(small), queries.oracle_sql()[name])

@@ -29,10 +29,11 @@ def flows(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int
             over = sum(x[k] for k in into) - sum(v for k, v in x.items() if k[0] == j) - free
             if over <= 0 or not into:
                 continue
-            total = sum(x[k] for k in into)
+            total, left = sum(x[k] for k in into), over
             for k in sorted(into, key=lambda k: -x[k]):
-                cut = min(x[k], -(-over * x[k] // total))
+                cut = min(x[k], -(-over * x[k] // total), left)
                 x[k] -= cut
+                left -= cut
             changed = True
         if not changed:
             return {k: v for k, v in x.items() if v}
@@ -45,10 +46,10 @@ def balanced_labels(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rou
     are neighbours of each other. Returns (rid, shard int), with counts that differ by one at most.
 
     Each round tallies every group's rows by shard; a row's votes are the sums over its groups; it wants the shard with
-    most votes (ties by a hash of group and shard, so that a group agrees), unless one group alone fills that shard. Of the
-    moves wanted between two shards as many happen as quotas allow, whole groups first. Linked rows never exceed a shard's
-    quota; rows without links fill what is left. A group larger than a shard fills one after another. Tallies are partial
-    sums, and a hot group's rows are salted. Empty tables give no rows.
+    most votes (ties by a hash of group and shard, so that a group agrees). A group larger than a shard has as many homes as
+    it fills, those with most of its rows; its rows elsewhere want one of them by hash. Of the moves wanted between two
+    shards as many happen as quotas allow, whole groups first. Linked rows never exceed a shard's quota; rows without links
+    fill what is left. Tallies are partial sums, and a hot group's rows are salted. Empty tables give no rows.
     """
     spark = rows.sparkSession
     n = rows.count()
@@ -63,14 +64,17 @@ def balanced_labels(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rou
     m = held.count()
     place = ranked(held, [], [F.col("near"), F.col("rid")], "_rank", m, F.col("near")) if m else held.withColumn("_rank", F.lit(0).cast("long"))
     place = materialize(place.select("rid", "near", F.pmod("_rank", F.lit(shards)).cast("int").alias("shard")), "shard-place")
-    for _ in range(rounds if m else 0):
+    for turn in range(rounds if m else 0):
         now = several.join(place.select("rid", "shard"), "rid")
         tally = now.groupBy("link", "shard", "salts").agg(F.count(F.lit(1)).alias("n"))
-        full = F.array(*[F.lit(q) for q in quota])[F.col("shard")]
-        votes = tally.groupBy("link", "salts").agg(F.collect_list(F.struct(F.col("shard").alias("to"), F.col("n"), (F.col("n") >= full).alias("full"), F.xxhash64("link", "shard").alias("tie"))).alias("votes"))
-        votes = votes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-        cast = now.join(votes, ["link", "salt"]).select("rid", "shard", F.explode("votes").alias("v"))
-        cast = cast.where("not v.full or v.to = shard").groupBy("rid", "shard", "v.to").agg(F.sum("v.n").alias("n"), F.max("v.tie").alias("tie"))
+        each = tally.groupBy("link", "salts").agg(F.sum("n").alias("all"), F.sort_array(F.collect_list(F.struct("n", F.xxhash64("link", "shard").alias("tie"), F.col("shard").alias("to"))), asc=False).alias("votes"))
+        each = each.withColumn("homes", F.ceil(F.col("all") / quota[0]).cast("int")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        cast = now.join(each.drop("salts"), ["link", "salt"]).select("rid", "shard", "all", "homes", F.posexplode("votes").alias("place", "v"))
+        home = (F.col("homes") == 1) | (F.col("place") < F.col("homes"))
+        weight = F.when((F.col("homes") == 1) | ~home, F.col("v.n")).when(F.col("v.to") == F.col("shard"), F.col("all") + 1).otherwise(F.col("all"))
+        tie = F.when(F.col("homes") == 1, F.col("v.tie")).otherwise(F.xxhash64("rid", "v.to", F.lit(turn)))
+        cast = cast.where(home | (F.col("v.to") == F.col("shard"))).select("rid", "shard", F.col("v.to").alias("to"), weight.alias("n"), tie.alias("tie"))
+        cast = cast.groupBy("rid", "shard", "to").agg(F.sum("n").alias("n"), F.max("tie").alias("tie"))
         best = cast.groupBy("rid", "shard").agg(F.max(F.struct("n", "tie", "to")).alias("best"))
         moves = best.where("best.to != shard").select("rid", "shard", F.col("best.to").alias("to"))
         moves = materialize(moves.join(place.select("rid", "near"), "rid"), "shard-moves")
