@@ -142,7 +142,7 @@ def paged_source(name: str, schema: str, fetch: Callable[[str, dt.datetime, dt.d
         def schema(self) -> str:
             return schema
 
-        def reader(self, _) -> DataSourceReader:
+        def reader(self, schema) -> DataSourceReader:
             return _PagedReader(dict(self.options), fetch)
 
     return Paged
