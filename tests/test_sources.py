@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 import zipfile
 
 from pyspark.sql import functions as F
@@ -76,3 +77,17 @@ def test_foreach_batch_upsert(spark, tmp_path):
     q = T.upsert_batches(spark.readStream.schema("id long").parquet(src), lambda batch, epoch: seen.append(batch.count()), str(tmp_path / "ck"))
     q.awaitTermination(60)
     assert sum(seen) == 10
+
+
+def test_carried_snapshots(spark, tmp_path):
+    src, shape = str(tmp_path / "in"), "instrument string, ts timestamp, value double, removed boolean"
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    for part in ([("a", at(1), 1.0, False), ("b", at(2), 5.0, False)], [("a", at(40), 2.0, False), ("c", at(59), 9.0, False)], [("b", at(50), 5.0, True), ("c", at(59), 9.0, False)]):
+        spark.createDataFrame(part, shape).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(src)
+    q = T.carried_snapshots(stream, 15 * 60 * 1000).writeStream.format("memory").queryName("carried").option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    got = sorted((r.instrument, r.ts.minute, r.value) for r in spark.sql("select * from carried").collect())
+    assert got == [("a", 0, 1.0), ("a", 15, 1.0), ("a", 30, 2.0), ("b", 0, 5.0), ("b", 15, 5.0), ("b", 30, 5.0)]

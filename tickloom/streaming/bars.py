@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.operators.bars import minutes
+from tickloom.sources.session import python_ready
 
 
 def stream_bars(ticks: DataFrame, timeframe: str, late: str = "2 minutes") -> DataFrame:
@@ -37,7 +38,8 @@ class CarryForward(StatefulProcessor):
     """The last value of each instrument, returned at every period end until the instrument is removed.
 
     Input rows: instrument, ts, value, removed (boolean). Output: instrument, ts (period start), value. State is one row an
-    instrument; a timer at the end of each period emits it, so quiet instruments are carried forward.
+    instrument; a message emits the period ends since the one before, and a timer those that the watermark passes, so quiet
+    instruments are carried forward. A message older than the state of its instrument changes nothing.
     """
 
     def __init__(self, period_ms: int):
@@ -48,27 +50,34 @@ class CarryForward(StatefulProcessor):
         self.last = handle.getValueState("last", "ts long, value double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        at, value, gone = (*self.last.get(), False) if self.last.exists() else (-1, None, False)
-        for part in rows:
-            for ts, v, removed in zip(part["ts"], part["value"], part["removed"], strict=True):
-                ms = int(ts.timestamp() * 1000)
-                if ms >= at:
-                    at, value, gone = ms, v, bool(removed)
+        at, value = self.last.get() if self.last.exists() else (-1, None)
+        ends: list[tuple[int, float]] = []
+        new = sorted((int(ts.timestamp() * 1000), v, bool(gone)) for part in rows for ts, v, gone in zip(part["ts"], part["value"], part["removed"], strict=True))
+        for ms, v, gone in new:
+            if at >= 0:  # period ends between the last message and this one still have the last value
+                ends += [(end, value) for end in range((at // self.period + 1) * self.period, ms + 1, self.period)]
+            if ms >= at:
+                at, value = (-1, None) if gone else (ms, v)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if gone:
+        if at < 0:
             self.last.clear()
-        elif at >= 0:
+        else:
             self.last.update((at, value))
             self.handle.registerTimer((at // self.period + 1) * self.period)
-        yield pd.DataFrame({"instrument": [], "ts": [], "value": []})
+        yield self._rows(key, ends)
+
+    def _rows(self, key, ends: list[tuple[int, float]]) -> pd.DataFrame:
+        starts = pd.to_datetime(pd.Series([end - self.period for end, _ in ends], dtype="int64"), unit="ms")
+        return pd.DataFrame({"instrument": pd.Series([key[0]] * len(ends), dtype="str"), "ts": starts.astype("datetime64[us]"), "value": pd.Series([v for _, v in ends], dtype="float64")})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         end = expiredTimerInfo.getExpiryTimeInMs()
         if self.last.exists():
             _, value = self.last.get()
+            self.last.update((end, value))
             self.handle.registerTimer(end + self.period)
-            yield pd.DataFrame({"instrument": [key[0]], "ts": [pd.Timestamp(end - self.period, unit="ms")], "value": [value]})
+            yield self._rows(key, [(end, value)])
 
     def close(self) -> None:
         pass
@@ -76,6 +85,7 @@ class CarryForward(StatefulProcessor):
 
 def carried_snapshots(messages: DataFrame, period_ms: int, late: str = "2 minutes") -> DataFrame:
     """Snapshots of all known instruments at every period end, in event time (see CarryForward). Needs the RocksDB store."""
+    python_ready(messages.sparkSession)
     stream = messages.withWatermark("ts", late).groupBy("instrument")
     return stream.transformWithStateInPandas(CarryForward(period_ms), "instrument string, ts timestamp, value double", "append", "eventTime")
 
