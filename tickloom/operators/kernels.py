@@ -134,7 +134,7 @@ def add_ema(bars: DataFrame, periods: list[int], of: str = "close") -> DataFrame
 
 def resume_ema(bars: DataFrame, state: DataFrame, period: int) -> DataFrame:
     """bars after a checkpoint continue the stored value: state has symbol and ema. New symbols start with their first price."""
-    met = bars.join(F.broadcast(state.select("symbol", F.col("ema").alias("_e"))), "symbol", "left")
+    met = bars.join(state.select("symbol", F.col("ema").alias("_e")), "symbol", "left")
 
     def run(c: Columns) -> Columns:
         first = c["_e"][0] if len(c["_e"]) and not np.isnan(np.float64(c["_e"][0] if c["_e"][0] is not None else np.nan)) else None

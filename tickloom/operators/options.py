@@ -178,4 +178,4 @@ GROUPS = {"volume": volume, "greeks": greeks, "expiry": expiry, "liquidity": liq
 def pending(chain: DataFrame, stored: DataFrame, columns: list[str]) -> DataFrame:
     """Rows of snapshots after the last stored one that has all of a group's columns, for each currency."""
     complete = stored.dropna(subset=columns).groupBy("currency").agg(F.max("ts").alias("_last"))
-    return chain.join(F.broadcast(complete), "currency", "left").where(F.col("_last").isNull() | (F.col("ts") > F.col("_last"))).drop("_last")
+    return chain.join(complete, "currency", "left").where(F.col("_last").isNull() | (F.col("ts") > F.col("_last"))).drop("_last")
