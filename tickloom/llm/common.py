@@ -88,3 +88,17 @@ def attach(df: DataFrame, table: DataFrame, key: Column, name: str, spread: Colu
     salts = 64
     salted = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(salted, [name, "_salt"], how).drop("_salt")
+
+
+def join_counts(df: DataFrame, counts: DataFrame, key: str, size: str, spread: Column) -> DataFrame:
+    """df joined (inner) with counts: one row a key, whose column `size` says how many rows of df have the key.
+
+    Keys with more than SALT_ROWS rows are few (at most rows / SALT_ROWS) and joined by attach; the others by shuffle on the
+    key. So no hot key meets in one task. counts is read twice and should be a written table.
+    """
+    columns = [c for c in counts.columns if c != key]
+    hot = materialize(counts.where(F.col(size) > SALT_ROWS).select(key, F.struct(*columns).alias("_hot")), "hot")
+    marked = attach(df, hot, F.col(key), key, spread)
+    warm = marked.where("_hot is not null").select(*df.columns, *[F.col(f"_hot.{c}").alias(c) for c in columns])
+    cold = marked.where("_hot is null").drop("_hot").join(counts.where(F.col(size) <= SALT_ROWS), key)
+    return warm.unionByName(cold.select(*df.columns, *columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import SALT_ROWS, materialize, ranked, release
+from tickloom.llm.common import SALT_ROWS, join_counts, materialize, ranked, release
 
 SHARDS = 16
 ROUNDS = 3
@@ -54,9 +54,10 @@ def balanced_labels(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rou
     spark = rows.sparkSession
     n = rows.count()
     quota = quotas(n, shards)
-    sizes = links.groupBy("link").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1")
-    salts = F.ceil(F.col("_size") / SALT_ROWS).cast("int")
-    links = links.join(sizes, "link").select("rid", "link", F.pmod(F.xxhash64("rid"), salts).cast("int").alias("salt"), salts.alias("salts"))
+    sizes = materialize(links.groupBy("link").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shard-sizes")
+    links = join_counts(links, sizes, "link", "size", F.col("rid"))
+    salts = F.ceil(F.col("size") / SALT_ROWS).cast("int")
+    links = links.select("rid", "link", F.pmod(F.xxhash64("rid"), salts).cast("int").alias("salt"), salts.alias("salts"))
     linked = links.groupBy("rid").agg(F.min(F.struct(F.xxhash64("link", "salt").alias("hash"), F.col("link"))).alias("first"))
     linked = linked.select("rid", F.col("first.hash").alias("near"), F.xxhash64("first.link").alias("lead"))
     several = materialize(links, "shard-links")

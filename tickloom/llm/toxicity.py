@@ -215,6 +215,6 @@ def classify(docs: DataFrame, chain: Chain) -> DataFrame:
 
 
 def classify_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The digest: doc_id, a probability for each category and whether the document is toxic."""
+    """The digest: doc_id, a probability for each category, whether the document is toxic, and kept, its opposite."""
     scored = classify(docs.select("doc_id", "text"), train(docs, labels))
-    return scored.select("doc_id", *[f"p_{k}" for k, _ in CHAIN], F.col("rejected").alias("toxic"))
+    return scored.select("doc_id", *[f"p_{k}" for k, _ in CHAIN], F.col("rejected").alias("toxic"), (~F.col("rejected")).alias("kept"))
