@@ -222,7 +222,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     out = base.select("doc_id", "n_shingles", "set_key").join(ends, "set_key", "left")
     component = F.coalesce("component_id", "doc_id")
     release(spark, sets)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 ORACLE = r"""
