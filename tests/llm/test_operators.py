@@ -363,3 +363,8 @@ def test_neighbours_across_buckets(spark, monkeypatch):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracle(spark, small, name):
     same(queries.queries()[name](spark, small), duck(small), queries.oracle_sql()[name])
+
+
+def test_upper_case_share_is_of_the_whole_text():
+    assert toxicity.shape("aBBB" * 512)[1] == 0.75
+    assert toxicity.shape("a" * 99_999 + "B")[1] == 1e-5

@@ -46,7 +46,7 @@ def shape(text: str | None) -> list[float]:
     tokens = text.split()
     return [
         sum(map(text.count, "#*$%&|<>@!")) / n,
-        sum(map(str.isupper, text[:: max(1, n // 512)])) / len(text[:: max(1, n // 512)] or " "),
+        sum(map(str.isupper, text)) / n,
         1 - len(set(lines)) / max(len(lines), 1),
         1 - len(set(tokens)) / max(len(tokens), 1),
         min(1.0, len(tokens) / 50),
