@@ -368,3 +368,38 @@ def test_oracle(spark, small, name):
 def test_upper_case_share_is_of_the_whole_text():
     assert toxicity.shape("aBBB" * 512)[1] == 0.75
     assert toxicity.shape("a" * 99_999 + "B")[1] == 1e-5
+
+
+def test_license_names_without_gnu(spark):
+    texts = ["GPL v2", "General Public License version 3", "subject to the terms of the GPL"]
+    got = rows(licenses.scan_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert all(r.labels == "gpl" and r.score > 0 for r in got)
+
+
+def test_license_keywords_occur_in_all_matches():
+    parse = re._parser.parse
+
+    def least(tokens):  # the texts of a pattern with optional parts left out, every alternative taken
+        out = [""]
+        for op, arg in tokens:
+            name = str(op)
+            if name == "LITERAL":
+                new = [chr(arg)]
+            elif name == "IN":
+                new = [next(chr(a) for o, a in arg if str(o) == "LITERAL")] if any(str(o) == "LITERAL" for o, _ in arg) else ["x"]
+            elif name == "SUBPATTERN":
+                new = least(arg[3])
+            elif name == "BRANCH":
+                new = [x for branch in arg[1] for x in least(branch)]
+            elif name == "MAX_REPEAT":
+                new = least(arg[2]) if arg[0] else [""]
+            elif name == "ASSERT":
+                new = [""]
+            else:
+                raise AssertionError(name)
+            out = [a + b for a in out for b in new]
+        return out
+
+    for rule, _, _, _, keyword, regex in licenses.rules():
+        for text in least(parse(regex)):
+            assert re.search(regex, text + " ") and keyword in text, (rule, keyword, text)

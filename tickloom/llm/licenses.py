@@ -17,7 +17,7 @@ BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by"
 LICENSES = [
     ("mit", "mit", "mit (?:x11 )?licen[cs]e", "mit", "opensource org licenses? mit", "opensource"),
     ("apache", "apache(?: license)? (?:1 [01]|2(?: 0)?)", "apache (?:software )?licen[cs]e(?: version)?(?: (?:1 [01]|2(?: 0)?))?", "apache", "apache org licenses(?: license 2 0)?", "apache"),
-    ("gpl", "gpl [123](?: 0)?(?: only| or later)?", "(?:gnu )?(?:general public licen[cs]e|gpl)(?: (?:version|v))? ?[123]?(?: 0)?", "gnu", "gnu org licenses? (?:old licenses )?gpl(?: [123] 0)?", "gnu"),
+    ("gpl", "gpl [123](?: 0)?(?: only| or later)?", "(?:gnu )?(?:general public licen[cs]e|gpl)(?: (?:version|v))? ?[123]?(?: 0)?", "gpl|general", "gnu org licenses? (?:old licenses )?gpl(?: [123] 0)?", "gnu"),
     ("lgpl", "lgpl (?:2|2 1|3)(?: 0)?(?: only| or later)?", "(?:gnu )?(?:lesser|library) general public licen[cs]e(?: version)?(?: (?:2|2 1|3))?", "general", "gnu org licenses? (?:old licenses )?lgpl(?: [23] [01])?", "lgpl"),
     ("agpl", "agpl [13](?: 0)?(?: only| or later)?", "(?:gnu )?affero general public licen[cs]e(?: version)?(?: [13])?", "affero", "gnu org licenses? agpl(?: 3 0)?", "agpl"),
     ("gfdl", "gfdl 1 [123](?: only| or later)?", "(?:gnu )?free documentation licen[cs]e(?: version)?(?: 1 [123])?", "documentation", "gnu org licenses? fdl(?: 1 [123])?", "fdl"),
