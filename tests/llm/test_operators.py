@@ -403,3 +403,12 @@ def test_license_keywords_occur_in_all_matches():
     for rule, _, _, _, keyword, regex in licenses.rules():
         for text in least(parse(regex)):
             assert re.search(regex, text + " ") and keyword in text, (rule, keyword, text)
+
+
+def test_near_duplicates_link_sets_of_repeated_and_null_ids(spark):
+    texts = [" ".join(f"{x}{i}" for i in range(150)) for x in "ab"]
+    docs = [(5, texts[0]), (5, texts[1]), (7, texts[0] + " more"), (8, texts[1] + " more"), (9, texts[1] + " other"), (None, texts[0] + " other")]
+    got = rows(minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert {r.component_id for r in got} == {5} and sum(r.kept for r in got) == 2
+    docs = [(None, texts[0] + " other"), (3, texts[0])]
+    assert {r.component_id for r in rows(minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))} == {3}

@@ -12,7 +12,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import SALT_ROWS, materialize, python_ready, release
@@ -112,7 +112,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(s))
             keys.append(set_key(s))
             bands.append(band_keys(signature(s)) if len(s) else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_key", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "row", "n_shingles", "set_key", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +120,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, blobs = [], []
         for rep, key, text in zip(batch.column("rep").to_pylist(), batch.column("set_key").to_pylist(), batch.column("text"), strict=True):
             s = shingle_set(text.as_py())
-            if set_key(s) == key:  # other rows may have the same id
+            if set_key(s) == key:
                 ids.append(rep)
                 blobs.append(s.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.large_binary()).cast(pa.binary())], ["rep", "shingles"])
@@ -173,12 +173,34 @@ def _against_leads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(_compared, "lead long, other long, n long, d long, linked boolean, tokens array<long>, short int")
 
 
+def row_key() -> Column:
+    """A 128-bit key of a row's doc_id and text, either of which may be null: equal in equal rows only."""
+    return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.when(F.col("text").isNull(), "n").otherwise("t"), "text")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Link documents with similar shingle sets and give each document its component.
 
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable) and kept (doc_id = component_id), a row for each
-    row of docs. Documents without words link with nothing. Equal sets are one vertex (their smallest doc_id), so copies are
-    never paired. Rows that repeat a doc_id are rows of their own. Other columns are left out.
+    row of docs. Documents without words link with nothing. Rows that repeat a doc_id are rows of their own. Where all ids of
+    a component are null, component_id is null and all its rows are kept. Other columns are left out.
+    """
+    component = F.coalesce("component_id", "doc_id")
+    return linked(docs).select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def first_rows(docs: DataFrame) -> DataFrame:
+    """The row_key (as _row) of one row of each component, that of the smallest doc_id (null last), and of all rows without words."""
+    rows = materialize(linked(docs).select("doc_id", "row", "root"), "rows")
+    first = rows.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    return first.select(F.col("first.row").alias("_row")).union(rows.where("root is null").select("row"))
+
+
+def linked(docs: DataFrame) -> DataFrame:
+    """doc_id, row (its row_key), n_shingles, root (a vertex that names the component, null without words) and component_id (its
+    smallest doc_id, null if it has none), a row for each row of docs.
+
+    Equal sets are one vertex with a number of its own, so copies are never paired and ids may be null or repeat.
 
     In each bucket of a band every member x is compared with a lead l: the member that shares most buckets with others, which
     in a group of edited copies is the original. Two members x, y of a bucket that are both linked to its lead are in one
@@ -192,10 +214,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     python_ready(spark)
-    texts = docs.select("doc_id", "text")
-    base = materialize(texts.mapInArrow(_sign, "doc_id long, n_shingles long, set_key binary, bands array<long>"), "signatures")
-    reps = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    reps = materialize(reps, "sets")
+    texts = docs.select("doc_id", row_key().alias("row"), "text")
+    base = materialize(texts.mapInArrow(_sign, "doc_id long, row binary, n_shingles long, set_key binary, bands array<long>"), "signatures")
+    reps = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("bands").alias("bands"))
+    reps = materialize(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
     spots = reps.select("rep", F.explode("bands").alias("bucket"))
     shared = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialize(spots.join(shared, "bucket"), "members")
@@ -204,8 +226,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lead = members.groupBy("bucket").agg(F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"))).alias("best"))
     met = members.join(lead.select("bucket", (-F.col("best.minus")).alias("lead")), "bucket").where("rep <> lead")
     pairs = materialize(met.groupBy("lead", F.col("rep").alias("other")).agg(F.max(F.col("size") > 2).alias("crowd")), "pairs")
-    wanted = members.select("rep").distinct().join(reps.select("rep", "set_key"), "rep")
-    sets = texts.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "set_key", "text")
+    wanted = members.select("rep").distinct().join(reps.select("rep", "set_key", "row"), "rep")
+    sets = texts.join(wanted, "row").select("rep", "set_key", "text")
     sets = materialize(sets.mapInArrow(_sets, "rep long, shingles binary").dropDuplicates(["rep"]), "shingles")
     compared = materialize(_against_leads(pairs, sets), "compared")
     crowds = compared.where("tokens is not null").groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("all_linked")).where("size > 1 and not all_linked")
@@ -218,11 +240,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     further = _against_leads(materialize(near, "pairs"), sets)
     links = compared.where("linked").select(F.col("lead").alias("u"), F.col("other").alias("v")).union(further.where("linked").select("lead", "other"))
     labels = components(links).withColumnRenamed("id", "rep")
-    ends = reps.select("set_key", "rep").join(labels, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
-    out = base.select("doc_id", "n_shingles", "set_key").join(ends, "set_key", "left")
-    component = F.coalesce("component_id", "doc_id")
+    least = labels.join(reps.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("label"))
+    labels = labels.join(least, "component")
+    component_id = F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("label"))
+    ends = reps.select("set_key", "rep", "least").join(labels, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("root"), component_id.alias("component_id"))
+    out = base.select("doc_id", "row", "n_shingles", "set_key").join(ends, "set_key", "left")
     release(spark, sets)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "row", "n_shingles", "root", "component_id")
 
 
 ORACLE = r"""
