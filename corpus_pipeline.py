@@ -18,8 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates, and every document outside such groups; repeated rows once."""
-    kept = minhash_dedup.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    docs = docs.withColumn("_row", minhash_dedup.row_key())
+    return docs.join(minhash_dedup.first_rows(docs), "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

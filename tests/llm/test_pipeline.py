@@ -36,3 +36,12 @@ def test_run_equals_the_stages_and_odd_rows_pass(spark, small, odd):  # noqa: F8
     for name, stage in P.STAGES:
         docs = materialize(stage(spark, docs, small), name)
     assert docs.count() > 0
+
+
+def test_near_duplicates_keep_rows_with_null_and_repeated_ids(spark):
+    words = [f"w{i}" for i in range(150)]
+    near = " ".join([*words[:-1], "edited"])
+    alone = [" ".join(f"{x}{i}" for i in range(60)) for x in "abc"]
+    docs = [(None, alone[0]), (None, None), (1, " ".join(words)), (2, near), (2, alone[1]), (None, alone[2]), (None, alone[2] + " more")]
+    got = {tuple(r) for r in P.drop_near_duplicates(spark, spark.createDataFrame(docs, "doc_id long, text string"), "").collect()}
+    assert len(got) == 5 and {docs[0], docs[1], docs[2], docs[4]} <= got and got & {docs[5], docs[6]}
