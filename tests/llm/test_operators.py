@@ -412,3 +412,12 @@ def test_near_duplicates_link_sets_of_repeated_and_null_ids(spark):
     assert {r.component_id for r in got} == {5} and sum(r.kept for r in got) == 2
     docs = [(None, texts[0] + " other"), (3, texts[0])]
     assert {r.component_id for r in rows(minhash_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))} == {3}
+
+
+def test_quality_drops_one_letter_and_overlong_words(spark):
+    rng = np.random.default_rng(4)
+    fine = [(i, " ".join(f"word{i % 10}{j % 10}" for j in rng.integers(0, 10, 60)), "en", "s") for i in range(200)]
+    junk = [(900 + i, " ".join(chr(97 + int(j)) for j in rng.integers(0, 26, 60)), "en", "s") for i in range(5)]
+    junk += [(950 + i, " ".join("w" * 9 + chr(97 + int(j)) for j in rng.integers(0, 26, 60)), "en", "s") for i in range(5)]
+    got = {r.doc_id: r.kept for r in rows(quality.judge(spark.createDataFrame(fine + junk, "doc_id long, text string, lang string, source string")))}
+    assert all(got[i] for i, *_ in fine) and not any(got[i] for i, *_ in junk)

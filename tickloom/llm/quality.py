@@ -24,8 +24,10 @@ METRICS = {
     "symbol_rate": ("n_symbols", "n_words", 150),
     "dup_line_rate": ("n_dup_lines", "n_lines", 500),
     "repeat_rate": ("n_repeat_words", "n_words", 200),
-    "word_length": ("word_chars", "n_words", 6000),
+    "word_length": ("word_chars", "n_words", 2000),
 }
+#: The smallest room of word_length below the lower quartile, in thousandths.
+BELOW = 1500
 #: Groups with fewer documents than this also count the documents of their language.
 GROUP = 50
 
@@ -95,8 +97,8 @@ def judge(docs: DataFrame) -> DataFrame:
     """Metrics, base_failed and kept for each document.
 
     A document fails the base rules with fewer than 20 words or over 30 % of words in repeated 8-word windows. Of the others
-    it fails if a metric is beyond its group's fence: q3 + max(room, FENCE * (q3 - q1)), for word length also below q1 less
-    that. Quartiles come from documents that pass the base rules; a group of under GROUP such documents uses its language's.
+    it fails if a metric is beyond its group's fence: q3 + max(room, FENCE * (q3 - q1)), for word length also below
+    q1 - max(BELOW, FENCE * (q3 - q1)). Quartiles come from documents that pass the base rules; a group of under GROUP such documents uses its language's.
     Null and empty texts have 0 words and fail. Null languages and sources are groups. Every row counts, repeated ones too.
     Other columns of docs than doc_id are left out.
     """
@@ -117,7 +119,8 @@ def judge(docs: DataFrame) -> DataFrame:
     for m, (_, _, least) in METRICS.items():
         room = F.when(F.col("metric") == m, F.lit(least)).otherwise(room)
     spread = F.greatest(room, FENCE * (F.col("q3") - F.col("q1")))
-    limits = met.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == m, F.col("q3") + spread)).alias(f"most_{m}") for m in METRICS], F.max(F.when(F.col("metric") == "word_length", F.col("q1") - spread)).alias("least_word_length"))
+    below = F.greatest(F.lit(BELOW), FENCE * (F.col("q3") - F.col("q1")))
+    limits = met.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == m, F.col("q3") + spread)).alias(f"most_{m}") for m in METRICS], F.max(F.when(F.col("metric") == "word_length", F.col("q1") - below)).alias("least_word_length"))
     limits = materialize(limits.select(F.struct("lang", "source").alias("_group"), *[c for c in limits.columns if c not in ("lang", "source")]), "limits")
     joined = attach(rows, limits, F.struct("lang", "source"), "_group", F.col("doc_id"))
     beyond = F.col("word_length") < F.col("least_word_length")
