@@ -421,3 +421,20 @@ def test_quality_drops_one_letter_and_overlong_words(spark):
     junk += [(950 + i, " ".join("w" * 9 + chr(97 + int(j)) for j in rng.integers(0, 26, 60)), "en", "s") for i in range(5)]
     got = {r.doc_id: r.kept for r in rows(quality.judge(spark.createDataFrame(fine + junk, "doc_id long, text string, lang string, source string")))}
     assert all(got[i] for i, *_ in fine) and not any(got[i] for i, *_ in junk)
+
+
+def test_secrets_across_spaces_lines_and_prefixes():
+    import base64
+    import gzip
+
+    for text in ("api%5Fkey = abcdefghijkl1234", "password%3A hunter2hunter2"):
+        assert [k for k, *_ in secret_scan.find_secrets(text)] == ["decoded_assign"]
+    key = "AKIA" + "ABCDEFGHIJ123456"
+    filler = " ".join(hashlib.sha256(b"%d" % i).hexdigest()[:7] for i in range(60))
+    for payload in (f"{'some words ' * 4}at {key} end {'more words ' * 9}".encode(), gzip.compress(f"{filler} {key}".encode())):
+        wrapped = base64.encodebytes(payload).decode()
+        for text in (wrapped, wrapped.replace("\n", "\r\n"), *(f"{p}{wrapped}" for p in ("x", "x-", "key", "data_"))):
+            spans = [s for s in secret_scan.find_secrets("before\n\n" + text) if s[0] == "decoded_access"]
+            assert spans, text
+    text = "see " + base64.b64encode(f"here is {key} end".encode()).decode() + "\nnext line"
+    assert all(e <= text.index("\n") for _, _, e in secret_scan.find_secrets(text)) and secret_scan.redact(text, secret_scan.find_secrets(text)) == "see [SECRET]\nnext line"

@@ -8,7 +8,6 @@ knows which code points of the whole text each of its characters stands for, so
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -37,10 +36,14 @@ _SOLID = re.compile("[!-~]+")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)+")
 _ONE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Base64 characters, also across line breaks: what has 20 in a row or reaches the end of its line.
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{20}|[A-Za-z0-9+/_-]++[ \t]*+[\r\n])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
+_RUN = re.compile("[A-Za-z0-9+/_-]+")
+#: A find and whatever encodes one is a stretch of ASCII text of at least 16 characters.
+_STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")
 _URL_SAFE = bytes.maketrans(b"-_", b"+/")
 #: First bytes of gzip, zlib, bzip2 and xz data.
-_PACKED = ((b"\x1f\x8b", 47), (b"\x78", 47), (b"BZh", 0), (b"\xfd7zXZ", 1))
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
 #: A packed part may not unpack to more than this; a larger one is left packed, and its span is not scanned further.
 UNPACKED = 1 << 24
 
@@ -102,40 +105,67 @@ class Layer:
         return Layer("".join(pieces), at, runs)
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """The data behind gzip, zlib, bzip2 or xz bytes; None if it is none of these, broken, or too large."""
-    for head, wbits in _PACKED:
-        if data.startswith(head):
-            try:
-                one = zlib.decompressobj(wbits) if wbits > 1 else lzma.LZMADecompressor() if wbits else bz2.BZ2Decompressor()
-                out = one.decompress(data, UNPACKED + 1)
-                return out if len(out) <= UNPACKED else None
-            except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
-                return None
-    return None
-
-
-def _readable(data: bytes) -> str | None:
-    """Bytes as text, if they are UTF-8 and mostly printable."""
-    seen = {data}
-    while (more := _unpacked(data)) is not None and more not in seen:
-        seen.add(data := more)
+def _unpacked(data: bytes) -> tuple[bytes, int] | None:
+    """What the gzip, zlib, bzip2 or xz stream at the start of data holds, and its length; None if broken or too large."""
     try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
+        one = bz2.BZ2Decompressor() if data[:1] == b"B" else lzma.LZMADecompressor() if data[:1] == b"\xfd" else zlib.decompressobj(47)
+        out = one.decompress(data, UNPACKED + 1)
+        return (out, len(data) - len(one.unused_data)) if len(out) <= UNPACKED else None
+    except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
         return None
-    good = sum(c.isprintable() or c in "\t\r\n" for c in text)
-    return text if text and good >= 0.95 * len(text) else None
 
 
-def _from_base64(part: str) -> str | None:
-    raw = part.rstrip("=").encode().translate(_URL_SAFE)
-    if len(raw) % 4 == 1:
-        raw = raw[:-1]
-    try:
-        return _readable(base64.b64decode(raw + b"=" * (-len(raw) % 4)))
-    except (binascii.Error, ValueError):
-        return None
+def _texts(data: bytes) -> Iterator[tuple[int, int, str, bool]]:
+    """(start, end, text, packed) of the stretches of text in data, and of those in its packed parts, at any depth."""
+    for m in _STRETCH.finditer(data):
+        yield *m.span(), m[0].decode(), False
+    at = 0
+    while m := _PACKED.search(data, at):
+        at = m.start() + 1
+        if (found := _unpacked(data[m.start() :])) is None:
+            continue
+        end = m.start() + found[1]
+        seen, work = {data, found[0]}, [found[0]]
+        while work:
+            inner = work.pop()
+            for x in _STRETCH.finditer(inner):
+                yield m.start(), end, x[0].decode(), True
+            while inner and _PACKED.match(inner) and (more := _unpacked(inner)) is not None:
+                if more[0] not in seen:
+                    seen.add(more[0])
+                    work.append(more[0])
+                inner = inner[more[1] :]
+        at = end
+
+
+def _from_base64(layer: Layer, m: re.Match) -> Iterator[Layer]:
+    """The texts behind base64 characters at each of the four alignments. A text that is not packed maps to lines."""
+    runs = [r.span() for r in _RUN.finditer(layer.text, *m.span())]
+    raw = "".join(layer.text[a:b] for a, b in runs).encode().translate(_URL_SAFE)
+    if len(raw) < 20:
+        return
+    first = [0]
+    for a, b in runs:
+        first.append(first[-1] + b - a)
+
+    def place(i: int) -> int:  # of a base64 character in the layer
+        k = min(bisect_right(first, i) - 1, len(runs) - 1)
+        return runs[k][0] + i - first[k]
+
+    for skip in range(4):
+        part = raw[skip:]
+        part = part[:-1] if len(part) % 4 == 1 else part
+        data = base64.b64decode(part + b"=" * (-len(part) % 4))
+
+        def span(a: int, b: int) -> tuple[int, int]:
+            end = m.end() if b == len(data) else place(skip + (8 * b - 1) // 6) + 1  # noqa: B023
+            return layer.span(place(skip + 8 * a // 6), end)  # noqa: B023
+
+        for a, b, text, packed in _texts(data):
+            cuts = [a]
+            if not packed:  # the first whole byte of each line begins a run
+                cuts += sorted({c for f in first[1:-1] if a < (c := -(-6 * (f - skip) // 8)) < b})
+            yield Layer(text, [c - a for c in cuts], [(*span(c, d), 0) for c, d in zip(cuts, [*cuts[1:], b], strict=True)])
 
 
 def _escaped(m: re.Match) -> str:
@@ -150,16 +180,19 @@ def decoded(layer: Layer) -> Iterator[Layer]:
     """The layers one step under a layer."""
     text = layer.text
     if "%" in text:
+        every = []
         for m in _SOLID.finditer(text):
             if "%" in m[0] and (parts := [(p.start(), p.end(), bytes.fromhex(p[0].replace("%", "")).decode("utf-8", "ignore")) for p in _PERCENT.finditer(text, *m.span())]):
                 yield layer.replaced(*m.span(), parts)
+                every += parts
+        if every:
+            yield layer.replaced(0, len(text), every)
     if "\\u" in text or "\\x" in text or "&#" in text:
         parts = [(m.start(), m.end(), _escaped(m)) for m in _ESCAPE.finditer(text)]
         if parts:
             yield layer.replaced(0, len(text), parts)
     for m in _BASE64.finditer(text):
-        if (new := _from_base64(m[0])) is not None:
-            yield layer.replaced(*m.span(), [(*m.span(), new)])
+        yield from _from_base64(layer, m)
 
 
 def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
