@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -44,8 +45,10 @@ _STRETCH = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")
 _URL_SAFE = bytes.maketrans(b"-_", b"+/")
 #: First bytes of gzip, zlib, bzip2 and xz data.
 _PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
-#: A packed part may not unpack to more than this; a larger one is left packed, and its span is not scanned further.
-UNPACKED = 1 << 24
+#: Bytes that are fed to a decompressor, taken from it and scanned at a time, and that two windows share.
+FEED, PIECE, WINDOW, OVERLAP = 1 << 16, 1 << 20, 1 << 22, 1 << 21
+#: Packed data directly inside packed data is opened this often; data that unpacks to itself ends there.
+DEPTH = 32
 
 
 def scan_layer(text: str) -> list[tuple[str, int, int]]:
@@ -105,14 +108,64 @@ class Layer:
         return Layer("".join(pieces), at, runs)
 
 
-def _unpacked(data: bytes) -> tuple[bytes, int] | None:
-    """What the gzip, zlib, bzip2 or xz stream at the start of data holds, and its length; None if broken or too large."""
-    try:
-        one = bz2.BZ2Decompressor() if data[:1] == b"B" else lzma.LZMADecompressor() if data[:1] == b"\xfd" else zlib.decompressobj(47)
-        out = one.decompress(data, UNPACKED + 1)
-        return (out, len(data) - len(one.unused_data)) if len(out) <= UNPACKED else None
-    except (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError):
-        return None
+_BROKEN = (zlib.error, lzma.LZMAError, OSError, EOFError, ValueError)
+
+
+def _opener(data: bytes):
+    return bz2.BZ2Decompressor() if data[:1] == b"B" else lzma.LZMADecompressor() if data[:1] == b"\xfd" else zlib.decompressobj(47)
+
+
+def _stream(feed: Iterator[bytes], used: list[int]) -> Iterator[bytes]:
+    """In pieces, what streams that follow one another hold, up to an error; used[0] becomes the length of the whole ones."""
+    one, fed, data = None, 0, b""
+    for new in feed:
+        fed += len(new)
+        data += new
+        while data:
+            if one is None:
+                if not _PACKED.match(data):
+                    break
+                one = _opener(data)
+            more = data
+            while True:
+                try:
+                    out = one.decompress(more, PIECE)
+                except _BROKEN:
+                    return
+                if out:
+                    yield out
+                if one.eof:
+                    data, one = one.unused_data, None
+                    used[0] = fed - len(data)
+                    break
+                more = getattr(one, "unconsumed_tail", b"")
+                if not more and (one.needs_input if hasattr(one, "needs_input") else len(out) < PIECE):
+                    data = b""
+                    break
+        if one is None and len(data) >= 10:
+            return
+
+
+def _opened(feed: Iterator[bytes], depth: int = 0) -> Iterator[bytes]:
+    """feed in windows that overlap; if it begins like packed data, its first piece and the windows of what it holds."""
+    first = b""
+    while len(first) < 10 and (new := next(feed, None)) is not None:
+        first += new
+    if depth < DEPTH and _PACKED.match(first):
+        yield first
+        yield from _opened(_stream(itertools.chain([first], feed), [0]), depth + 1)
+        return
+    held = bytearray(first)
+    fresh = len(held) > 0
+    for new in feed:
+        held += new
+        fresh = True
+        if len(held) >= WINDOW:
+            yield bytes(held)
+            del held[:-OVERLAP]
+            fresh = False
+    if fresh:
+        yield bytes(held)
 
 
 def _texts(data: bytes) -> Iterator[tuple[int, int, str, bool]]:
@@ -122,20 +175,13 @@ def _texts(data: bytes) -> Iterator[tuple[int, int, str, bool]]:
     at = 0
     while m := _PACKED.search(data, at):
         at = m.start() + 1
-        if (found := _unpacked(data[m.start() :])) is None:
-            continue
-        end = m.start() + found[1]
-        seen, work = {data, found[0]}, [found[0]]
-        while work:
-            inner = work.pop()
-            for x in _STRETCH.finditer(inner):
+        used = [0]
+        feed = (data[i : i + FEED] for i in range(m.start(), len(data), FEED))
+        for window in _opened(_stream(feed, used)):
+            end = m.start() + used[0] if used[0] else len(data)
+            for x in _STRETCH.finditer(window):
                 yield m.start(), end, x[0].decode(), True
-            while inner and _PACKED.match(inner) and (more := _unpacked(inner)) is not None:
-                if more[0] not in seen:
-                    seen.add(more[0])
-                    work.append(more[0])
-                inner = inner[more[1] :]
-        at = end
+        at += max(0, used[0] - 1)
 
 
 def _from_base64(layer: Layer, m: re.Match) -> Iterator[Layer]:
@@ -183,7 +229,8 @@ def decoded(layer: Layer) -> Iterator[Layer]:
         every = []
         for m in _SOLID.finditer(text):
             if "%" in m[0] and (parts := [(p.start(), p.end(), bytes.fromhex(p[0].replace("%", "")).decode("utf-8", "ignore")) for p in _PERCENT.finditer(text, *m.span())]):
-                yield layer.replaced(*m.span(), parts)
+                if len(m[0]) < len(text):
+                    yield layer.replaced(*m.span(), parts)
                 every += parts
         if every:
             yield layer.replaced(0, len(text), every)
@@ -206,17 +253,24 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     found = set(scan_layer(text))
     base = sorted(found)
     seen = {hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()}
-    work = [Layer(text, [0], [(0, len(text), 1)])]
+    # Layers are made one at a time, and a parent is let go with its last child: memory is bounded by windows and depth.
+    layers = decoded(Layer(text, [0], [(0, len(text), 1)]))
+    work = [(next(layers, None), layers)]
     while work:
-        for layer in decoded(work.pop()):
-            mark = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass") + b"%d" % (layer.runs[0][0] if layer.runs else 0), digest_size=16).digest()
-            if layer.text and mark not in seen:
-                seen.add(mark)
-                work.append(layer)
-                for kind, start, end in scan_layer(layer.text):
-                    a, b = layer.span(start, end)
-                    if not any(k == kind and x <= a and b <= y for k, x, y in base):
-                        found.add((DECODED[kind], a, b))
+        layer, layers = work.pop()
+        if layer is None:
+            continue
+        if (after := next(layers, None)) is not None:
+            work.append((after, layers))
+        mark = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass") + b"%d" % (layer.runs[0][0] if layer.runs else 0), digest_size=16).digest()
+        if layer.text and mark not in seen:
+            seen.add(mark)
+            for kind, start, end in scan_layer(layer.text):
+                a, b = layer.span(start, end)
+                if not any(k == kind and x <= a and b <= y for k, x, y in base):
+                    found.add((DECODED[kind], a, b))
+            layers = decoded(layer)
+            work.append((next(layers, None), layers))
     return sorted(found, key=lambda s: (s[1], ORDER[s[0]], s[2]))
 
 
