@@ -453,3 +453,31 @@ def test_secrets_in_large_packed_parts():
         spans = secret_scan.find_secrets(text)
         assert {k for k, *_ in spans} == {"decoded_access"}
         assert all(2 <= a < b <= len(text) - 2 for _, a, b in spans) and secret_scan.redact(text, spans) == "x [SECRET] y"
+
+
+def test_clusters_unlike_their_lead_are_not_paired_with_themselves(spark, monkeypatch):
+    compared = []
+    real = minhash_dedup._against_leads
+
+    def counting(pairs, sets):
+        compared.append(pairs.count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(minhash_dedup, "_against_leads", counting)
+    found = {}
+    for n in (200, 400):
+        rng = np.random.default_rng(n)
+        a = [f"t{i}" for i in range(150)]
+        b = a[:122] + [f"u{i}" for i in range(28)]  # about 0.65 alike
+        texts = []
+        for i in range(n):
+            w = list((a, b)[i % 2])
+            j = int(rng.integers(0, 150))
+            w[j] = f"e{i}"
+            texts.append(" ".join(w))
+        compared.clear()
+        got = {r.doc_id: r.component_id for r in rows(minhash_dedup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))}
+        want = brute_components(list(range(n)), brute_sets(texts))
+        assert [got[i] for i in range(n)] == want and len(set(want)) <= 12
+        found[n] = sum(compared)
+    assert found[200] <= 30 * 200 and found[400] <= 2.3 * found[200], found

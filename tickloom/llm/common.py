@@ -7,6 +7,9 @@ import math
 import shutil
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,15 +23,24 @@ BROADCAST_ROWS = 50_000
 SALT_ROWS = 2048
 
 _own: dict[str, str] = {}
+_shipped: set[str] = set()
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of our own only where none is set."""
+    """The folder that driver and executors share; in local mode, where none is set, one of our own.
+
+    That is spark.checkpoint.dir, else the folder given to setCheckpointDir. A cluster without either is an error: any other
+    folder might be on one machine only.
+    """
     sc = spark.sparkContext
     if found := sc.getConf().get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    given = sc._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return str(given.get()).rstrip("/")
     if not sc.master.startswith("local"):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if sc.applicationId not in _own:
         _own[sc.applicationId] = tempfile.mkdtemp(prefix="tickloom-")
         atexit.register(shutil.rmtree, _own[sc.applicationId], ignore_errors=True)
@@ -39,25 +51,56 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: lineage ends there, and lost executors lose nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for scope in _scopes:
+        scope.append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete written tables that no later plan reads."""
+    """Delete tables that materialize wrote and no later plan reads; each by its own exact path."""
     for table in tables:
-        for f in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
-            if "-" in f and f.startswith(shared_dir(spark).split(":")[0]):
-                path = spark._jvm.org.apache.hadoop.fs.Path(f)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, table.written_to)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Tables written inside are deleted at the end, but for those put into the list that is given."""
+    paths: list[str] = []
+    kept: list[DataFrame] = []
+    _scopes.append(paths)
+    try:
+        yield kept
+    finally:
+        _scopes.remove(paths)
+        for path in set(paths) - {t.written_to for t in kept}:
+            _delete(spark, path)
 
 
 def python_ready(spark: SparkSession) -> None:
-    """Let Python workers find this package wherever the driver was started; small Arrow batches bound their memory."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(":"):
-        env["PYTHONPATH"] = ":".join(x for x in (root, env.get("PYTHONPATH", "")) if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+    """Give the package to Python workers, wherever they are; small Arrow batches bound their memory.
+
+    The batch size is left alone where the caller has set one.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        _shipped.add(sc.applicationId)
+        root = Path(__file__).resolve().parents[2]
+        folder = tempfile.mkdtemp(prefix="tickloom-package-")  # on the driver, which serves it
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        package = f"{folder}/tickloom-package.zip"
+        with zipfile.ZipFile(package, "w") as z:
+            for f in sorted((root / "tickloom").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        sc.addPyFile(package)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
 
 
 def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str, rows: int, by: Column | None = None) -> DataFrame:
@@ -90,15 +133,22 @@ def attach(df: DataFrame, table: DataFrame, key: Column, name: str, spread: Colu
     return df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).join(salted, [name, "_salt"], how).drop("_salt")
 
 
-def join_counts(df: DataFrame, counts: DataFrame, key: str, size: str, spread: Column) -> DataFrame:
-    """df joined (inner) with counts: one row a key, whose column `size` says how many rows of df have the key.
+def hottest(df: DataFrame, key: str) -> int:
+    """How many rows the most frequent key has."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+
+
+def join_counts(df: DataFrame, counts: DataFrame, key: str, size: str, spread: Column, how: str = "inner") -> DataFrame:
+    """df joined (inner or left) with counts: one row a key, whose column `size` says how many rows of df have the key.
 
     Keys with more than SALT_ROWS rows are few (at most rows / SALT_ROWS) and joined by attach; the others by shuffle on the
-    key. So no hot key meets in one task. counts is read twice and should be a written table.
+    key. So no hot key meets in one task. counts is read several times and should be a written table.
     """
+    if (counts.agg(F.max(size)).first()[0] or 0) <= SALT_ROWS:
+        return df.join(counts, key, how)
     columns = [c for c in counts.columns if c != key]
     hot = materialize(counts.where(F.col(size) > SALT_ROWS).select(key, F.struct(*columns).alias("_hot")), "hot")
     marked = attach(df, hot, F.col(key), key, spread)
     warm = marked.where("_hot is not null").select(*df.columns, *[F.col(f"_hot.{c}").alias(c) for c in columns])
-    cold = marked.where("_hot is null").drop("_hot").join(counts.where(F.col(size) <= SALT_ROWS), key)
+    cold = marked.where("_hot is null").drop("_hot").join(counts.where(F.col(size) <= SALT_ROWS), key, how)
     return warm.unionByName(cold.select(*df.columns, *columns))

@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import materialize, release
+from tickloom.llm.common import SALT_ROWS, hottest, join_counts, materialize, release, scratch
 
 
 def _contract(links: DataFrame, large: bool) -> DataFrame:
-    """One star operation on (u, v) with u > v: neighbours are tied to the smallest of the neighbourhood.
+    """One star operation on written (u, v) with u > v: neighbours are tied to the smallest of the neighbourhood.
 
-    The minimum is a partial aggregate and the join back can be split, so no hub is gathered in one task.
+    The minimum is a partial aggregate, and a hub's links are salted for the join back, so no hub is gathered in one task.
     """
     both = links.union(links.select(F.col("v"), F.col("u"))) if large else links
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    met = both.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    least = least.select("u", F.least("u", "m").alias("m"), "n")
+    if hottest(both, "u") > SALT_ROWS:
+        least = materialize(least, "least")
+        met = join_counts(both, least, "u", "n", F.col("v"))
+    else:
+        met = both.join(least, "u")
     tied = met.where("v > u" if large else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not large:
         tied = tied.union(least.select("u", F.col("m").alias("v")))
-    return tied.where("u <> v").distinct()
+    return materialize(tied.where("u <> v").distinct(), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,7 +41,10 @@ def components(links: DataFrame) -> DataFrame:
     was = None
     while (seen := mark(now)) != was:
         was = seen
-        before, now = now, materialize(_contract(_contract(now, True), False), "links")
+        before = now
+        with scratch(spark) as kept:
+            now = _contract(_contract(before, True), False)
+            kept.append(now)
         release(spark, before)
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import SALT_ROWS, materialize, python_ready, release
+from tickloom.llm.common import SALT_ROWS, join_counts, materialize, python_ready, scratch
 from tickloom.llm.graph import components
 
 WORDS = 5
@@ -25,6 +25,8 @@ SIMILAR = 85
 BANDS, BAND = 20, 4
 #: Elements hashed at a time for all coordinates.
 BLOCK = 4096
+#: Members of a group that are paired directly; a larger group gets a lead of its own.
+FEW = 32
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -135,7 +137,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     at, held = None, None
     for batch in batches:
         rows = []
-        for lead, salt, other, crowd, blob in zip(*(batch.column(c).to_pylist() for c in ("lead", "salt", "other", "crowd", "shingles")), strict=True):
+        for lead, salt, other, crowd, weight, blob in zip(*(batch.column(c).to_pylist() for c in ("lead", "salt", "other", "crowd", "weight", "shingles")), strict=True):
             s = np.frombuffer(blob, np.uint64)
             if other is None:
                 at, held = (lead, salt), s
@@ -156,21 +158,51 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 order = np.concatenate([s[~shared], held[lacking]])
                 short = min(d, away + 1, d - -(-d * SIMILAR // (100 + SIMILAR)) + 1) if d else 0
                 tokens = order[: short if linked else min(d, away + 1)].view(np.int64)
-            rows.append((lead, other, len(s), d, linked, tokens, short))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.int32()]
+            rows.append((lead, other, weight, len(s), d, linked, tokens, short))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.int32()]
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lead", "other", "n", "d", "linked", "tokens", "short"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lead", "other", "weight", "n", "d", "linked", "tokens", "short"])
 
 
 def _against_leads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Compare (lead, other, crowd) on their full sets. A lead's set goes once to each of its salts."""
+    """Compare the written (lead, other, crowd, weight) on their full sets. A lead's set goes once to each of its salts."""
     spread = F.ceil(F.count(F.lit(1)).cast("double") / SALT_ROWS).cast("int")
-    leads = pairs.groupBy("lead").agg(spread.alias("salts"))
+    leads = materialize(pairs.groupBy("lead").agg(spread.alias("salts"), F.count(F.lit(1)).alias("n")), "leads")
     none = F.lit(None).cast("long")
-    own = leads.join(sets, leads.lead == sets.rep).select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), none.alias("other"), F.lit(False).alias("crowd"), "shingles")
-    theirs = pairs.join(leads, "lead").join(sets, F.col("other") == F.col("rep")).select("lead", F.pmod(F.xxhash64("other"), F.col("salts")).cast("int").alias("salt"), "other", "crowd", "shingles")
+    own = leads.join(sets, leads.lead == sets.rep).select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), none.alias("other"), F.lit(False).alias("crowd"), none.alias("weight"), "shingles")
+    salted = join_counts(pairs, leads, "lead", "n", F.col("other")).select("lead", F.pmod(F.xxhash64("other"), F.col("salts")).cast("int").alias("salt"), "other", "crowd", "weight")
+    theirs = salted.join(sets, salted.other == sets.rep).select("lead", "salt", "other", "crowd", "weight", "shingles")
     rows = own.union(theirs).repartition("lead", "salt").sortWithinPartitions("lead", "salt", F.col("other").asc_nulls_first())
-    return rows.mapInArrow(_compared, "lead long, other long, n long, d long, linked boolean, tokens array<long>, short int")
+    return rows.mapInArrow(_compared, "lead long, other long, weight long, n long, d long, linked boolean, tokens array<long>, short int")
+
+
+def _further(rows: DataFrame, turn: int) -> DataFrame:
+    """The pairs (lead, other, crowd, weight) that members of the leads' groups must still be compared in.
+
+    rows: all comparisons so far, each with its turn; groups without one of the last turn are done. Members are dealt by
+    (lead, token), for the tokens that linked() names. A group of at most FEW is paired; a larger one becomes a group of its
+    own, led by its heaviest member, so members that differ from the lead in the same way are compared with one of them only.
+    """
+    crowd = rows.where("tokens is not null")
+    crowds = crowd.groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("whole"), F.max("turn").alias("turn"))
+    crowds = materialize(crowds.where(f"size > 1 and not whole and turn = {turn}").select("lead", "size"), "crowds")
+    members = join_counts(crowd, crowds, "lead", "size", F.col("other"))
+    places = members.select("lead", "other", "weight", "n", "d", (~F.col("linked")).alias("far"), "short", F.posexplode("tokens").alias("i", "token"))
+    places = places.select(F.xxhash64("lead", "token").alias("spot"), "lead", "token", "other", "weight", "n", "d", "i", "far", (F.col("i") < F.col("short")).alias("near"))
+    spots = places.groupBy("spot").agg(F.count(F.lit(1)).alias("many"), F.count_if("far").alias("fars"), F.count_if("near").alias("nears"), F.max(F.struct("weight", (-F.col("other")).alias("minus"))).alias("best"))
+    spots = materialize(spots.where("many > 1 and fars > 0 and nears > 0").select("spot", "many", (-F.col("best.minus")).alias("head")), "spots")
+    at = materialize(join_counts(places, spots, "spot", "many", F.col("other")), "meets")
+    few = at.where(F.col("many") <= FEW)
+    one = few.where("far").select("lead", "token", F.col("other").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), "i")
+    two = few.where("near").select("lead", "token", F.col("other").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("i").alias("j"))
+    least, most = 100 - SIMILAR, 100 + SIMILAR
+    enough = F.expr(f"x <> y and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny)")
+    near = one.join(two, ["lead", "token"]).where(enough).select(F.least("x", "y").alias("lead"), F.greatest("x", "y").alias("other"), F.lit(False).alias("crowd"), F.lit(0).cast("long").alias("weight"))
+    led = at.where((F.col("many") > FEW) & (F.col("other") != F.col("head"))).select(F.col("head").alias("lead"), "other", F.lit(True).alias("crowd"), "weight")
+    done = rows.select("lead", "other", F.col("tokens").isNotNull().alias("_crowd"))
+    wanted = near.union(led).groupBy("lead", "other").agg(F.max("crowd").alias("crowd"), F.max("weight").alias("weight"))
+    seen = wanted.join(done, ["lead", "other"], "left").groupBy("lead", "other").agg(F.max("crowd").alias("crowd"), F.max("weight").alias("weight"), F.max("_crowd").alias("_was"))
+    return materialize(seen.where("_was is null or (crowd and not _was)").select("lead", "other", "crowd", "weight"), "pairs")
 
 
 def row_key() -> Column:
@@ -204,49 +236,61 @@ def linked(docs: DataFrame) -> DataFrame:
 
     In each bucket of a band every member x is compared with a lead l: the member that shares most buckets with others, which
     in a group of edited copies is the original. Two members x, y of a bucket that are both linked to its lead are in one
-    component anyway. Any other similar pair differs from the lead in similar ways, so it is found by a prefix-filter join on
-    the differences dx = x ^ l and dy = y ^ l (symmetric differences), which are short where sets are alike and hold mostly
+    component anyway. Any other similar pair differs from the lead in similar ways, so it is found by a prefix filter on the
+    differences dx = x ^ l and dy = y ^ l (symmetric differences), which are short where sets are alike and hold mostly
     elements of one member only. With c = 15/185, x ~ y means |x ^ y| = |dx ^ dy| <= c (|x| + |y|). If x is not linked to l:
     - dx and dy must share more than |dy| * (1 - c) / 2 elements, so the first |dy| * (1 + c) / 2 + 1 of dy must meet dx;
     - at most 15/85 |x| elements of dx are outside dy, so the first 15/85 |x| + 1 of dx must meet those of dy;
     - at the first shared element, what remains of both must suffice for the overlap that is required.
-    All three hold for every similar pair, so none is lost, and no group is paired with itself.
+    All three hold for every similar pair, so x and y meet at some (lead, token). Where few members meet they are paired.
+    Where many do, as in a cluster of copies that is unlike the lead, they are a group like a bucket: its heaviest member
+    leads it, and the same is done again, until no comparison is new. So none is lost, and a cluster is compared with its
+    leads, not with itself. A lead is always heavier than the members of its group (in ties: of a smaller number), so a pair
+    is handed on to lighter leads only, and the rounds end.
     """
     spark = docs.sparkSession
     python_ready(spark)
     texts = docs.select("doc_id", row_key().alias("row"), "text")
     base = materialize(texts.mapInArrow(_sign, "doc_id long, row binary, n_shingles long, set_key binary, bands array<long>"), "signatures")
-    reps = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("bands").alias("bands"))
+    with scratch(spark) as kept:
+        ends = _ends(texts, base)
+        kept.append(ends)
+    out = join_counts(base.select("doc_id", "row", "n_shingles", "set_key"), ends, "set_key", "copies", F.xxhash64("doc_id", "row"), "left")
+    return out.select("doc_id", "row", "n_shingles", "root", "component_id")
+
+
+def _ends(texts: DataFrame, base: DataFrame) -> DataFrame:
+    """set_key, copies, root and component_id of each set with words, written."""
+    reps = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"))
     reps = materialize(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
     spots = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = materialize(spots.join(shared, "bucket"), "members")
+    shared = materialize(spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
+    members = materialize(join_counts(spots, shared, "bucket", "size", F.col("rep")), "members")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    members = members.join(weight, "rep")
-    lead = members.groupBy("bucket").agg(F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"))).alias("best"))
-    met = members.join(lead.select("bucket", (-F.col("best.minus")).alias("lead")), "bucket").where("rep <> lead")
-    pairs = materialize(met.groupBy("lead", F.col("rep").alias("other")).agg(F.max(F.col("size") > 2).alias("crowd")), "pairs")
+    members = materialize(members.join(weight, "rep"), "members")
+    lead = members.groupBy("bucket").agg(F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"))).alias("best"), F.first("size").alias("size"))
+    lead = materialize(lead.select("bucket", (-F.col("best.minus")).alias("lead"), "size"), "bucket-leads")
+    met = join_counts(members.select("rep", "bucket", "weight"), lead, "bucket", "size", F.col("rep")).where("rep <> lead")
+    pairs = met.groupBy("lead", F.col("rep").alias("other")).agg(F.max(F.col("size") > 2).alias("crowd"), F.max("weight").alias("weight"))
+    pairs = materialize(pairs, "pairs")
     wanted = members.select("rep").distinct().join(reps.select("rep", "set_key", "row"), "rep")
-    sets = texts.join(wanted, "row").select("rep", "set_key", "text")
+    wanted = materialize(base.groupBy("row").agg(F.count(F.lit(1)).alias("times")).join(wanted, "row"), "wanted")
+    sets = join_counts(texts.select("row", "text"), wanted, "row", "times", F.xxhash64("text")).select("rep", "set_key", "text")
     sets = materialize(sets.mapInArrow(_sets, "rep long, shingles binary").dropDuplicates(["rep"]), "shingles")
-    compared = materialize(_against_leads(pairs, sets), "compared")
-    crowds = compared.where("tokens is not null").groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("all_linked")).where("size > 1 and not all_linked")
-    open_rows = compared.where("tokens is not null").join(crowds.select("lead"), "lead")
-    one = open_rows.where("not linked").select("lead", F.col("other").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), F.posexplode("tokens").alias("i", "token"))
-    two = open_rows.select("lead", F.col("other").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.posexplode(F.expr("slice(tokens, 1, short)")).alias("j", "token"))
-    least, most = 100 - SIMILAR, 100 + SIMILAR
-    enough = F.expr(f"x <> y and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny)")
-    near = one.join(two, ["lead", "token"]).where(enough).select(F.least("x", "y").alias("lead"), F.greatest("x", "y").alias("other"), F.lit(False).alias("crowd")).distinct()
-    further = _against_leads(materialize(near, "pairs"), sets)
-    links = compared.where("linked").select(F.col("lead").alias("u"), F.col("other").alias("v")).union(further.where("linked").select("lead", "other"))
+    turn = 0
+    fresh = rows = materialize(_against_leads(pairs, sets), "compared").withColumn("turn", F.lit(turn))
+    while not fresh.where("tokens is not null").isEmpty():
+        pairs = _further(rows, turn)
+        turn += 1
+        fresh = materialize(_against_leads(pairs, sets), "compared").withColumn("turn", F.lit(turn))
+        rows = rows.union(fresh)
+    links = rows.where("linked").select(F.col("lead").alias("u"), F.col("other").alias("v"))
     labels = components(links).withColumnRenamed("id", "rep")
-    least = labels.join(reps.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("label"))
-    labels = labels.join(least, "component")
+    least = labels.join(reps.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("label"), F.count(F.lit(1)).alias("n"))
+    labels = join_counts(labels, materialize(least, "labels"), "component", "n", F.col("rep"))
     component_id = F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("label"))
-    ends = reps.select("set_key", "rep", "least").join(labels, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("root"), component_id.alias("component_id"))
-    out = base.select("doc_id", "row", "n_shingles", "set_key").join(ends, "set_key", "left")
-    release(spark, sets)
-    return out.select("doc_id", "row", "n_shingles", "root", "component_id")
+    ends = reps.select("rep", "set_key", "copies", "least").join(labels, "rep", "left")
+    return materialize(ends.select("set_key", "copies", F.coalesce("component", "rep").alias("root"), component_id.alias("component_id")), "ends")
 
 
 ORACLE = r"""
