@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import minhash_dedup, mixing, packing, secret_scan, toxicity
-from tickloom.llm.common import materialize
+from tickloom.llm.common import materialize, release, scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark) as kept:
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+            kept.append(docs)
+        release(spark, *before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
