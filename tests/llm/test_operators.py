@@ -129,14 +129,15 @@ def test_near_duplicates(spark, odd, none):
 
 def test_mixing(spark, odd, none):
     got = rows(mixing.replicate(odd, {"s0": 0.5, None: 0.5}))
-    assert {"copy", "rate", "shuffle_key"} <= set(got[0].__fields__) if got else True
+    assert got and {"copy", "rate", "shuffle_key"} <= set(got[0].__fields__) and {r.doc_id for r in got} <= {*range(len(TEXTS)), None}
     n = 4000
     df = spark.createDataFrame([(i, "x" * 10, "a" if i % 4 else "b") for i in range(n)], "doc_id long, text string, source string")
     out = rows(mixing.replicate(df, {"a": 0.5, "b": 0.5}, epochs=2.0))
     share = collections.Counter(r.source for r in out)
     assert abs(share["a"] / len(out) - 0.5) < 0.03 and abs(len(out) - 2 * n) < 0.05 * n
     for r in out[:50]:  # the quantile of the hash, by hand
-        u = (int(hashlib.md5(f"mix-1:{r.doc_id}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        own = f"{r.doc_id}:{hashlib.md5(r.text.encode()).hexdigest()}"
+        u = (int(hashlib.md5(f"mix-1:{own}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
         k, p, c = 0, math.exp(-r.rate), math.exp(-r.rate)
         while c < u:
             k += 1
@@ -209,15 +210,46 @@ def test_packing(spark, odd, none):
 def test_packing_plan_uses_the_histogram_up():
     rng = np.random.default_rng(5)
     for scale in (1, 40, 3000):
-        h = np.concatenate([[0], rng.poisson(rng.gamma(0.7, scale, 256))]).astype(np.int64)
-        plans = packing.plan(h)
-        used = np.zeros_like(h)
-        for kinds, times in plans:
-            assert sum(kinds) <= 256 and times > 0
-            np.add.at(used, list(kinds), times)
-        assert (used == h).all()
-        least = max((h * np.arange(257)).sum() / 256, h[129:].sum())  # no two of over half a window share one
-        assert sum(t for _, t in plans) <= 1.1 * least + 256
+        size = packing.sizes(4096, 16)
+        h = rng.poisson(rng.gamma(0.7, scale, len(size))).astype(np.int64)
+        assert plan_of(h, size) <= 1.1 * max((h * size).sum() / 4096, h[size > 2048].sum()) + len(size)  # no two of over half a window share one
+
+
+def plan_of(h, size):
+    """The sequences of a plan, which must use all pieces up and overfill none."""
+    used = np.zeros_like(h)
+    plans = packing.plan(h, size, 4096)
+    for kinds, times in plans:
+        assert sum(size[c] * k for c, k in kinds) <= 4096 and times > 0
+        for c, k in kinds:
+            used[c] += k * times
+    assert (used == h).all()
+    return sum(t for _, t in plans)
+
+
+@pytest.mark.parametrize("lengths", [{1: 16_384}, {1: 100_001}, {17: 100_000}, {5: 40_000, 90: 3_000, 700: 900}, {100: 9_000, 333: 8_000}, {1: 7, 4096: 12}])
+def test_packing_plans_of_short_pieces_are_near_the_least(lengths):
+    size = packing.sizes(4096, 16)
+    h = np.zeros(len(size), np.int64)
+    for n, k in lengths.items():
+        h[np.searchsorted(size, n)] += k
+    least = max(-(-sum(n * k for n, k in lengths.items()) // 4096), -(-sum(lengths.values()) // (4096 // min(lengths))))
+    assert plan_of(h, size) <= max(1.02 * least, least + 1)
+
+
+def test_packing_spreads_copies_and_repeated_ids(spark):
+    df = spark.createDataFrame([(7, "same text")] * 5000 + [(i, f"other {i}") for i in range(100, 200)], "doc_id long, text string")
+    got = rows(packing.pack(df))
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for v in by.values():
+        at = 0
+        for o, n in sorted(v):
+            assert o == at
+            at += n
+        assert at <= 4096
+    assert len(got) == 5100 and len(by) <= 1.02 * sum(r.length for r in got) / 4096 + 1
 
 
 def test_toxicity(spark, none):
@@ -481,3 +513,27 @@ def test_clusters_unlike_their_lead_are_not_paired_with_themselves(spark, monkey
         assert [got[i] for i in range(n)] == want and len(set(want)) <= 12
         found[n] = sum(compared)
     assert found[200] <= 30 * 200 and found[400] <= 2.3 * found[200], found
+
+
+def test_mixing_at_high_rates_and_with_one_id(spark):
+    df = spark.createDataFrame([(None, "x" * 10, "a")] * 3000 + [(1, "rare" + str(i), "b") for i in range(3)], "doc_id long, text string, source string")
+    out = mixing.replicate(df, {"a": 0.5, "b": 0.5}, epochs=2.0)
+    by = collections.Counter(r.source for r in rows(out))
+    assert 0.95 < by["b"] / (33_018 / 6) < 1.05
+    counts = collections.Counter((r.doc_id, r.text) for r in rows(out) if r.source == "b")
+    assert len(counts) == 3 and len(set(counts.values())) > 1  # rows of one id are drawn apart
+    parts = rows(out.where("source = 'a'").groupBy(F.spark_partition_id()).count())
+    assert not parts or max(r["count"] for r in parts) < 0.6 * sum(r["count"] for r in parts)
+
+
+def test_deep_escapes_take_linear_time():
+    import time
+
+    began = time.time()
+    for text in ("%" + "25" * 250_000 + "41", "\\u005c" + "u005c" * 100_000 + "u0041", "&#x26;" + "#x26;" * 100_000 + "#65;"):
+        secret_scan.find_secrets(f"x {text} y")
+    assert time.time() - began < 20
+    deep = "password%" + "25" * 4 + "3Dabcdefghijkl99"
+    assert secret_scan.find_secrets(deep) == [("decoded_assign", 0, len(deep))]
+    for text in ("\\u005cu005cu0070assword=abcdefghijkl", "&#38;#x26;#x70;assword=abcdefghijkl"):
+        assert secret_scan.find_secrets(text) == [("decoded_assign", 0, len(text))]

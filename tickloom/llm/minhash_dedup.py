@@ -25,8 +25,10 @@ SIMILAR = 85
 BANDS, BAND = 20, 4
 #: Elements hashed at a time for all coordinates.
 BLOCK = 4096
-#: Members of a group that are paired directly; a larger group gets a lead of its own.
-FEW = 32
+#: A group of more members than this gets leads of its own, so often one after the other.
+FEW, LEADS = 32, 2
+#: Rows of one side of a group that meet the other side in one task.
+MEET = 256
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -176,33 +178,62 @@ def _against_leads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(_compared, "lead long, other long, weight long, n long, d long, linked boolean, tokens array<long>, short int")
 
 
-def _further(rows: DataFrame, turn: int) -> DataFrame:
-    """The pairs (lead, other, crowd, weight) that members of the leads' groups must still be compared in.
+def _led(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Give groups leads of their own: large (spot, many, other, weight, ...) with class, and the comparisons made.
 
-    rows: all comparisons so far, each with its turn; groups without one of the last turn are done. Members are dealt by
-    (lead, token), for the tokens that linked() names. A group of at most FEW is paired; a larger one becomes a group of its
-    own, led by its heaviest member, so members that differ from the lead in the same way are compared with one of them only.
+    LEADS times, the heaviest member that has no class yet leads a group, if more than FEW have none, and every such member is
+    compared with it: those linked to it are a class. So each time is linear in the members.
+    """
+    large, compared = large.withColumn("class", F.lit(None).cast("int")), []
+    for turn in range(LEADS):
+        heads = large.where("class is null").groupBy("spot").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("weight", (-F.col("other")).alias("minus"))).alias("best"), F.first("many").alias("many"))
+        heads = materialize(heads.where(F.col("n") > FEW).select("spot", "many", (-F.col("best.minus")).alias("head")), "heads")
+        if heads.isEmpty():
+            break
+        names = [c for c in large.columns if c not in ("spot", "many", "class")]
+        met = materialize(join_counts(large.drop("many"), heads, "spot", "many", F.col("other"), "left"), "led")
+        pairs = met.where("head is not null and class is null and head <> other").select(F.col("head").alias("lead"), "other").distinct()
+        pairs = materialize(pairs.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs")
+        compared.append(materialize(_against_leads(pairs, sets), "compared"))
+        hits = compared[-1].where("linked").select(F.col("lead").alias("head"), "other", F.lit(True).alias("hit"))
+        if not turn:
+            many = materialize(large.groupBy("spot").agg(F.first("many").alias("many")), "sizes")
+        known = F.when(F.col("class").isNull() & (F.coalesce("hit", F.lit(False)) | F.coalesce(F.col("head") == F.col("other"), F.lit(False))), turn).otherwise(F.col("class"))
+        classed = met.join(hits, ["head", "other"], "left").select("spot", *names, known.alias("class"))
+        large = materialize(join_counts(classed, many, "spot", "many", F.col("other")), "classed")
+    return large, compared
+
+
+def _further(rows: DataFrame, sets: DataFrame) -> list[DataFrame]:
+    """Compare the members of the leads' groups as far as linked() asks for.
+
+    rows: the comparisons with the leads. Members are dealt by (lead, token). Those of a group that are not of one class (see
+    _led) are paired and filtered by what overlap is still possible; a large group's pairs are salted.
     """
     crowd = rows.where("tokens is not null")
-    crowds = crowd.groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("whole"), F.max("turn").alias("turn"))
-    crowds = materialize(crowds.where(f"size > 1 and not whole and turn = {turn}").select("lead", "size"), "crowds")
+    crowds = crowd.groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("whole"))
+    crowds = materialize(crowds.where("size > 1 and not whole").select("lead", "size"), "crowds")
+    if crowds.isEmpty():
+        return []
     members = join_counts(crowd, crowds, "lead", "size", F.col("other"))
     places = members.select("lead", "other", "weight", "n", "d", (~F.col("linked")).alias("far"), "short", F.posexplode("tokens").alias("i", "token"))
-    places = places.select(F.xxhash64("lead", "token").alias("spot"), "lead", "token", "other", "weight", "n", "d", "i", "far", (F.col("i") < F.col("short")).alias("near"))
-    spots = places.groupBy("spot").agg(F.count(F.lit(1)).alias("many"), F.count_if("far").alias("fars"), F.count_if("near").alias("nears"), F.max(F.struct("weight", (-F.col("other")).alias("minus"))).alias("best"))
-    spots = materialize(spots.where("many > 1 and fars > 0 and nears > 0").select("spot", "many", (-F.col("best.minus")).alias("head")), "spots")
+    places = places.select(F.xxhash64("lead", "token").alias("spot"), "other", "weight", "n", "d", "i", "far", (F.col("i") < F.col("short")).alias("near"))
+    spots = places.groupBy("spot").agg(F.count(F.lit(1)).alias("many"), F.count_if("far").alias("fars"), F.count_if("near").alias("nears"))
+    spots = materialize(spots.where("many > 1 and fars > 0 and nears > 0").select("spot", "many"), "spots")
     at = materialize(join_counts(places, spots, "spot", "many", F.col("other")), "meets")
-    few = at.where(F.col("many") <= FEW)
-    one = few.where("far").select("lead", "token", F.col("other").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), "i")
-    two = few.where("near").select("lead", "token", F.col("other").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("i").alias("j"))
+    large, compared = _led(at.where(F.col("many") > FEW), sets)
+    classes = large.groupBy("spot").agg(F.first("many").alias("many"), (F.coalesce(F.min("class") == F.max("class"), F.lit(False)) & (F.count("class") == F.count(F.lit(1)))).alias("one"))
+    mixed = materialize(classes.where("not one").select("spot", "many"), "mixed")
+    rest = join_counts(large.drop("many"), mixed, "spot", "many", F.col("other"))
+    every = rest.unionByName(at.where(F.col("many") <= FEW).withColumn("class", F.lit(None).cast("int")))
+    salts = F.ceil(F.col("many") / MEET).cast("int")
+    one = every.where("far").select("spot", F.pmod(F.xxhash64("other"), salts).cast("int").alias("salt"), F.col("other").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), "i", F.col("class").alias("cx"))
+    two = every.where("near").select("spot", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("other").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("i").alias("j"), F.col("class").alias("cy"))
     least, most = 100 - SIMILAR, 100 + SIMILAR
-    enough = F.expr(f"x <> y and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny)")
-    near = one.join(two, ["lead", "token"]).where(enough).select(F.least("x", "y").alias("lead"), F.greatest("x", "y").alias("other"), F.lit(False).alias("crowd"), F.lit(0).cast("long").alias("weight"))
-    led = at.where((F.col("many") > FEW) & (F.col("other") != F.col("head"))).select(F.col("head").alias("lead"), "other", F.lit(True).alias("crowd"), "weight")
-    done = rows.select("lead", "other", F.col("tokens").isNotNull().alias("_crowd"))
-    wanted = near.union(led).groupBy("lead", "other").agg(F.max("crowd").alias("crowd"), F.max("weight").alias("weight"))
-    seen = wanted.join(done, ["lead", "other"], "left").groupBy("lead", "other").agg(F.max("crowd").alias("crowd"), F.max("weight").alias("weight"), F.max("_crowd").alias("_was"))
-    return materialize(seen.where("_was is null or (crowd and not _was)").select("lead", "other", "crowd", "weight"), "pairs")
+    enough = F.expr(f"x <> y and coalesce(cx <> cy, true) and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny)")
+    near = one.join(two, ["spot", "salt"]).where(enough).select(F.least("x", "y").alias("lead"), F.greatest("x", "y").alias("other")).distinct()
+    pairs = materialize(near.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs")
+    return [*compared, materialize(_against_leads(pairs, sets), "compared")]
 
 
 def row_key() -> Column:
@@ -242,11 +273,9 @@ def linked(docs: DataFrame) -> DataFrame:
     - dx and dy must share more than |dy| * (1 - c) / 2 elements, so the first |dy| * (1 + c) / 2 + 1 of dy must meet dx;
     - at most 15/85 |x| elements of dx are outside dy, so the first 15/85 |x| + 1 of dx must meet those of dy;
     - at the first shared element, what remains of both must suffice for the overlap that is required.
-    All three hold for every similar pair, so x and y meet at some (lead, token). Where few members meet they are paired.
-    Where many do, as in a cluster of copies that is unlike the lead, they are a group like a bucket: its heaviest member
-    leads it, and the same is done again, until no comparison is new. So none is lost, and a cluster is compared with its
-    leads, not with itself. A lead is always heavier than the members of its group (in ties: of a smaller number), so a pair
-    is handed on to lighter leads only, and the rounds end.
+    All three hold for every similar pair, so x and y meet at some (lead, token). A large group there, such as a cluster of
+    copies that is unlike the lead, gets leads of its own; members linked to one of them are in one component, and only the
+    others are paired. So none is lost, and a cluster is compared with its lead, not with itself.
     """
     spark = docs.sparkSession
     python_ready(spark)
@@ -277,14 +306,11 @@ def _ends(texts: DataFrame, base: DataFrame) -> DataFrame:
     wanted = materialize(base.groupBy("row").agg(F.count(F.lit(1)).alias("times")).join(wanted, "row"), "wanted")
     sets = join_counts(texts.select("row", "text"), wanted, "row", "times", F.xxhash64("text")).select("rep", "set_key", "text")
     sets = materialize(sets.mapInArrow(_sets, "rep long, shingles binary").dropDuplicates(["rep"]), "shingles")
-    turn = 0
-    fresh = rows = materialize(_against_leads(pairs, sets), "compared").withColumn("turn", F.lit(turn))
-    while not fresh.where("tokens is not null").isEmpty():
-        pairs = _further(rows, turn)
-        turn += 1
-        fresh = materialize(_against_leads(pairs, sets), "compared").withColumn("turn", F.lit(turn))
-        rows = rows.union(fresh)
-    links = rows.where("linked").select(F.col("lead").alias("u"), F.col("other").alias("v"))
+    compared = materialize(_against_leads(pairs, sets), "compared")
+    links = None
+    for part in [compared, *_further(compared, sets)]:
+        part = part.where("linked").select(F.col("lead").alias("u"), F.col("other").alias("v"))
+        links = part if links is None else links.union(part)
     labels = components(links).withColumnRenamed("id", "rep")
     least = labels.join(reps.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("label"), F.count(F.lit(1)).alias("n"))
     labels = join_counts(labels, materialize(least, "labels"), "component", "n", F.col("rep"))

@@ -28,8 +28,8 @@ METRICS = {
 }
 #: The smallest room of word_length below the lower quartile, in thousandths.
 BELOW = 1500
-#: Groups with fewer documents than this also count the documents of their language.
-GROUP = 50
+#: Each group's sketch also has its language's, weighted as this many documents, so that thresholds of small groups lean on it.
+PRIOR = 50
 
 _MIX = np.random.default_rng(90210).integers(1, 2**63, GRAM, dtype=np.uint64) | np.uint64(1)
 _SYMBOLS = b"#*$%&|<>"
@@ -93,12 +93,29 @@ def quantiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
     return run.groupBy(*groups, "metric").agg(F.max("all").alias("n"), F.min(F.when(4 * F.col("upto") >= F.col("all"), F.col("value"))).alias("q1"), F.min(F.when(4 * F.col("upto") >= 3 * F.col("all"), F.col("value"))).alias("q3"))
 
 
+def leaning(fine: DataFrame) -> DataFrame:
+    """The sketches of (lang, source), each merged with its language's at the weight of PRIOR documents.
+
+    Counts are multiplied by the language's documents instead of divided, so they stay whole numbers. The same rule holds for
+    groups of every size.
+    """
+    whole = "decimal(38,0)"
+    wide = fine.groupBy("lang", "metric", "value").agg(F.sum("n").alias("w"))
+    sizes = fine.where(F.col("metric") == next(iter(METRICS))).groupBy("lang").agg(F.sum("n").cast("decimal(18,0)").alias("size"))
+    key = lambda df, *more: df.withColumn("_lang", F.struct("lang")).drop("lang", *more)
+    own = fine.withColumn("_lang", F.struct("lang")).join(key(sizes), "_lang").select("lang", "source", "metric", "value", (F.col("n").cast("decimal(18,0)") * F.col("size")).cast(whole).alias("n"))
+    groups = fine.select("lang", "source").distinct().withColumn("_lang", F.struct("lang"))
+    lent = groups.join(key(wide), "_lang").select("lang", "source", "metric", "value", (F.col("w").cast("decimal(18,0)") * PRIOR).cast(whole).alias("n"))
+    return own.unionByName(lent).groupBy("lang", "source", "metric", "value").agg(F.sum("n").cast(whole).alias("n"))
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """Metrics, base_failed and kept for each document.
 
     A document fails the base rules with fewer than 20 words or over 30 % of words in repeated 8-word windows. Of the others
     it fails if a metric is beyond its group's fence: q3 + max(room, FENCE * (q3 - q1)), for word length also below
-    q1 - max(BELOW, FENCE * (q3 - q1)). Quartiles come from documents that pass the base rules; a group of under GROUP such documents uses its language's.
+    q1 - max(BELOW, FENCE * (q3 - q1)). Quartiles come from documents that pass the base rules, those of the group and, at a
+    weight of PRIOR documents, those of its language.
     Null and empty texts have 0 words and fail. Null languages and sources are groups. Every row counts, repeated ones too.
     Other columns of docs than doc_id are left out.
     """
@@ -110,11 +127,7 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = materialize(rows, "metrics")
     good = rows.where("not base_failed")
     fine = materialize(sketches(good, ["lang", "source"]), "sketches")
-    own = quantiles(fine, ["lang", "source"])
-    merged = fine.groupBy("lang", "metric", "value").agg(F.sum("n").alias("n"))
-    wide = quantiles(merged, ["lang"]).select(F.col("lang").alias("_lang"), F.col("metric").alias("_metric"), F.col("q1").alias("_q1"), F.col("q3").alias("_q3"))
-    met = own.join(wide, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("metric") == F.col("_metric")))
-    met = met.select("lang", "source", "metric", *[F.when(F.col("n") >= GROUP, F.col(q)).otherwise(F.col(f"_{q}")).alias(q) for q in ("q1", "q3")])
+    met = quantiles(leaning(fine), ["lang", "source"])
     room = F.lit(0)
     for m, (_, _, least) in METRICS.items():
         room = F.when(F.col("metric") == m, F.lit(least)).otherwise(room)
@@ -128,3 +141,54 @@ def judge(docs: DataFrame) -> DataFrame:
         beyond = beyond | (F.col(m) > F.col(f"most_{m}"))
     kept = ~F.col("base_failed") & ~F.coalesce(beyond, F.lit(False))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"))
+
+
+def _oracle() -> str:
+    split = lambda x: f"list_filter(regexp_split_to_array({x}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+    rates = " union all ".join(f"select doc_id, lang, source, '{m}' as metric, case when {b} = 0 then 0 else 1000 * {a} // {b} end as v from good" for m, (a, b, _) in METRICS.items())
+    room = " ".join(f"when '{m}' then {least}" for m, (_, _, least) in METRICS.items())
+    over = " or ".join(f"case when {b} = 0 then 0 else 1000 * {a} // {b} end > most_{m}" for m, (a, b, _) in METRICS.items())
+    limits = ", ".join(f"max(q3 + spread) filter (where metric = '{m}') as most_{m}" for m in METRICS)
+    same = "{0}.lang is not distinct from {1}.lang and {0}.source is not distinct from {1}.source"
+    return rf"""
+with base as (
+  select doc_id, lang, source, coalesce(text, '') as t, {split("coalesce(text, '')")} as w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) as lines from documents
+), grams as (
+  select doc_id, i, array_to_string(w[i:i + {GRAM - 1}], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - {GRAM - 2})) as i from base where len(w) > {GRAM})
+), hit as (
+  select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + {GRAM})) as p from (select doc_id, i, count(*) over (partition by doc_id, g) as many from grams) where many > 1) group by 1
+), rows as (
+  select b.doc_id, lang, source, len(w)::bigint as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(hit.n, 0)::bigint as n_repeat_words, len(lines)::bigint as n_lines from base b left join hit on hit.doc_id = b.doc_id
+), judged as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from rows
+), good as (
+  select * from judged where not base_failed
+), rates as ({rates}), fine as (
+  select lang, source, metric, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) as value, count(*)::hugeint as n from rates group by all
+), sizes as (
+  select lang, count(*)::hugeint as size from good group by 1
+), both_parts as (
+  select f.lang, f.source, f.metric, f.value, f.n * s.size as n from fine f join sizes s on s.lang is not distinct from f.lang
+  union all
+  select g.lang, g.source, f.metric, f.value, f.n * {PRIOR} from (select distinct lang, source from fine) g join fine f on f.lang is not distinct from g.lang
+), merged as (
+  select lang, source, metric, value, sum(n) as n from both_parts group by all
+), run as (
+  select *, sum(n) over (partition by lang, source, metric order by value) as upto, sum(n) over (partition by lang, source, metric) as whole from merged
+), quart as (
+  select lang, source, metric, min(value) filter (where 4 * upto >= whole) as q1, min(value) filter (where 4 * upto >= 3 * whole) as q3 from run group by all
+), fences as (
+  select *, greatest(case metric {room} end, {FENCE} * (q3 - q1)) as spread, greatest({BELOW}, {FENCE} * (q3 - q1)) as below from quart
+), limits as (
+  select lang, source, {limits}, max(q1 - below) filter (where metric = 'word_length') as least_word from fences group by all
+)
+select j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and not coalesce(case when n_words = 0 then 0 else 1000 * word_chars // n_words end < least_word or {over}, false) as kept
+from judged j left join limits l on {same.format("l", "j")}
+"""
+
+
+ORACLE = _oracle()

@@ -56,4 +56,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_minhash_dedup": minhash_dedup.ORACLE, "op3_source_mix": mixing.ORACLE, "op10_imatch": imatch.ORACLE}
+    return {"op2_minhash_dedup": minhash_dedup.ORACLE, "op3_source_mix": mixing.ORACLE, "op9_quality_rules": quality.ORACLE, "op10_imatch": imatch.ORACLE}

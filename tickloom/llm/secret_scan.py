@@ -34,9 +34,10 @@ _ACCESS = re.compile("AKIA[A-Z0-9]{14,}")
 _HEX = re.compile("[0-9a-f]{16,}")
 
 _SOLID = re.compile("[!-~]+")
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};)+")
+_HEXED, _TWO = re.compile("%([0-9A-Fa-f]{2})"), re.compile("[0-9A-Fa-f]{2}")
 _ONE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
+#: What makes an escape of a decoded backslash or ampersand.
+_REST = {"\\": re.compile(r"u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|x([0-9A-Fa-f]{2})()()"), "&": re.compile(r"()()()#x([0-9A-Fa-f]{1,6});|#([0-9]{1,7});")}
 #: Base64 characters, also across line breaks: what has 20 in a row or reaches the end of its line.
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{20}|[A-Za-z0-9+/_-]++[ \t]*+[\r\n])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+={0,2}")
 _RUN = re.compile("[A-Za-z0-9+/_-]+")
@@ -214,12 +215,43 @@ def _from_base64(layer: Layer, m: re.Match) -> Iterator[Layer]:
             yield Layer(text, [c - a for c in cuts], [(*span(c, d), 0) for c, d in zip(cuts, [*cuts[1:], b], strict=True)])
 
 
-def _escaped(m: re.Match) -> str:
-    out = []
-    for x in _ONE.finditer(m[0]):
-        code = int(x[5]) if x[5] else int(x[1] or x[2] or x[3] or x[4], 16)
-        out.append(chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "")
-    return "".join(out)
+def _unquoted(text: str, start: int, stop: int) -> list[tuple[int, int, str]]:
+    """(start, end, new) of the runs of percent escapes in text[start:stop].
+
+    A percent sign that comes of an escape and begins another one is decoded with it, as often as that goes on: what lies
+    between differs from this layer and the next only in digits that end a longer run here. So %252525... takes linear time.
+    """
+    out, at = [], start
+    while (m := _HEXED.search(text, at, stop)) is not None:
+        begin, end, raw = m.start(), m.start(), bytearray()
+        while (m := _HEXED.match(text, end, stop)) is not None:
+            code, end = int(m[1], 16), m.end()
+            while code == 0x25 and (n := _TWO.match(text, end, stop)) is not None:
+                code, end = int(n[0], 16), n.end()
+            raw.append(code)
+        out.append((begin, end, raw.decode("utf-8", "ignore")))
+        at = end
+    return out
+
+
+def _unescaped(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, new) of the runs of escapes. One that begins with a decoded backslash or ampersand is decoded with it."""
+
+    def char(m: re.Match) -> str:
+        code = int(m[5]) if m[5] else int(m[1] or m[2] or m[3] or m[4], 16)
+        return chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else ""
+
+    out, at = [], 0
+    while (m := _ONE.search(text, at)) is not None:
+        begin, end, new = m.start(), m.start(), []
+        while (m := _ONE.match(text, end)) is not None:
+            c, end = char(m), m.end()
+            while c in _REST and (m := _REST[c].match(text, end)) is not None:
+                c, end = char(m), m.end()
+            new.append(c)
+        out.append((begin, end, "".join(new)))
+        at = end
+    return out
 
 
 def decoded(layer: Layer) -> Iterator[Layer]:
@@ -228,14 +260,14 @@ def decoded(layer: Layer) -> Iterator[Layer]:
     if "%" in text:
         every = []
         for m in _SOLID.finditer(text):
-            if "%" in m[0] and (parts := [(p.start(), p.end(), bytes.fromhex(p[0].replace("%", "")).decode("utf-8", "ignore")) for p in _PERCENT.finditer(text, *m.span())]):
+            if "%" in m[0] and (parts := _unquoted(text, *m.span())):
                 if len(m[0]) < len(text):
                     yield layer.replaced(*m.span(), parts)
                 every += parts
         if every:
             yield layer.replaced(0, len(text), every)
     if "\\u" in text or "\\x" in text or "&#" in text:
-        parts = [(m.start(), m.end(), _escaped(m)) for m in _ESCAPE.finditer(text)]
+        parts = _unescaped(text)
         if parts:
             yield layer.replaced(0, len(text), parts)
     for m in _BASE64.finditer(text):
@@ -251,7 +283,12 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
     if not text:
         return []
     found = set(scan_layer(text))
-    base = sorted(found)
+    base = {k: sorted((a, b) for kind, a, b in found if kind == k) for k in KINDS}  # of one kind they do not overlap
+
+    def covered(kind: str, a: int, b: int) -> bool:
+        i = bisect_right(base[kind], (a, len(text) + 1)) - 1
+        return i >= 0 and b <= base[kind][i][1]
+
     seen = {hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()}
     # Layers are made one at a time, and a parent is let go with its last child: memory is bounded by windows and depth.
     layers = decoded(Layer(text, [0], [(0, len(text), 1)]))
@@ -267,7 +304,7 @@ def find_secrets(text: str | None) -> list[tuple[str, int, int]]:
             seen.add(mark)
             for kind, start, end in scan_layer(layer.text):
                 a, b = layer.span(start, end)
-                if not any(k == kind and x <= a and b <= y for k, x, y in base):
+                if not covered(kind, a, b):
                     found.add((DECODED[kind], a, b))
             layers = decoded(layer)
             work.append((next(layers, None), layers))

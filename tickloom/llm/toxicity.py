@@ -148,13 +148,15 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, chain: tuple[tuple[str, str], ...] = CHAIN, sample: int = SAMPLE) -> Chain:
     """Fit the chain on at most `sample` labelled documents of different texts, the first by a hash of the id.
 
-    Labels that match no document count for nothing; a repeated label counts once (the largest). A category without both
+    Labels that match no document count for nothing; a repeated label counts once (the largest); of several texts with one id
+    the first by hash is taken, so at most `sample` texts reach the driver. A category without both
     classes gets a constant. Without labels every probability is near 0.
     """
     python_ready(docs.sparkSession)
     y: Column = F.array(*[F.coalesce(F.expr(c), F.lit(False)).cast("double") for _, c in chain])
     rows = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(y).alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(rows), "doc_id")  # at most `sample` rows
+    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(rows), "doc_id")  # at most `sample` ids
+    rows = rows.groupBy("doc_id").agg(F.first("y").alias("y"), F.min(F.struct(F.xxhash64("text"), "text")).alias("t")).select("doc_id", "y", "t.text")
     found = materialize(rows.dropDuplicates(["text"]).mapInArrow(_word_rows, "doc_id long, y array<double>, words array<string>, shape array<double>"), "toxic-words")
     n = found.count()
     names = [k for k, _ in chain]
