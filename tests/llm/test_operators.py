@@ -537,3 +537,30 @@ def test_deep_escapes_take_linear_time():
     assert secret_scan.find_secrets(deep) == [("decoded_assign", 0, len(deep))]
     for text in ("\\u005cu005cu0070assword=abcdefghijkl", "&#38;#x26;#x70;assword=abcdefghijkl"):
         assert secret_scan.find_secrets(text) == [("decoded_assign", 0, len(text))]
+
+
+def test_language_kernel_is_the_exact_one():
+    texts = [t for t in TEXTS if t] + ["der die das und", "the and of to", "Straße ÄÖÜ"]
+
+    def brute(t):
+        low = re.sub(" +", " ", "".join(c if ord(c) >= 128 or c.isalpha() else " " for c in t.lower()))
+        return {low[i : i + n] for n in (1, 2, 3) for i in range(len(low) - n + 1)}
+
+    model = language.Model.of(["a"], [language.grams(t) for t in texts[:5]])
+    got = model.kernel([language.grams(t) for t in texts])
+    for i, t in enumerate(texts):
+        for j, u in enumerate(texts[:5]):
+            a, b = brute(t), brute(u)
+            assert abs(got[i, j] - len(a & b) / math.sqrt(max(len(a), 1) * max(len(b), 1))) < 1e-12
+
+
+def test_neighbours_of_one_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(imatch, "NEIGHBOURS", 20)
+    monkeypatch.setattr(imatch, "CUTS", 5)
+    data = [(i, f"t{i}") for i in range(200)] + [(77, f"u{i}") for i in range(300)] + [(None, f"v{i}") for i in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, text string").withColumn("hash", F.xxhash64("text"))
+    order = sorted(rows(df), key=lambda r: (r.doc_id if r.doc_id is not None else -1, r.hash, r.text), reverse=True)
+    got = {(r.doc_id, r.text): r.next_text for r in rows(imatch.with_next(df.select("doc_id", "text"), ["text"]))}
+    assert got == {(r.doc_id, r.text): order[(i + 1) % len(order)].text for i, r in enumerate(order)}
+    placed, _ = imatch._bucketed(df.select("doc_id", "text"))
+    assert max(r["count"] for r in rows(placed.groupBy("bucket").count())) < 200

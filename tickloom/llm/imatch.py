@@ -13,15 +13,17 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import materialize
+from tickloom.llm.common import hottest, materialize
 
 #: The band: at least LEAST and at most MOST of all documents have a term (and at least two do).
 LEAST, MOST = 0.002, 0.15
 SUBSETS = 8
 #: Terms are in one of 16 parts, by the first digit of their MD5. Each subset leaves out this many.
 LEFT_OUT = 5
-#: Rows that a bucket of neighbours holds on average, and how many buckets there may be at most.
-NEIGHBOURS, MOST_BUCKETS = 1000, 10_000
+#: Rows that a bucket of neighbours holds on average; quantiles of ids that are constants of the plan.
+NEIGHBOURS, CUTS = 1000, 1000
+#: Up to this many buckets, a table of two numbers for each is broadcast; beyond, it is joined by shuffle.
+BROADCAST_HEADS = 1_000_000
 #: Places of the lexicon's hash table.
 TABLE = 1 << 15
 
@@ -76,37 +78,64 @@ def likeness(a: str, b: str) -> Column:
     return F.expr(f"aggregate(zip_with({a}, {b}, (x, y) -> if(x = y, 1, 0)), 0, (s, x) -> s + x) / {SUBSETS}.0D")
 
 
-def _range_number(column: str, cuts: list[int]) -> Column:
+def _range_number(column: str, cuts: list[float]) -> Column:
     """How many of the sorted cuts are at most the column: first among every so-manieth, then among those between."""
     wide = max(1, math.isqrt(len(cuts)))
     blocks = [cuts[i : i + wide] for i in range(0, len(cuts), wide)]
-    first = f"from_json('{json.dumps([b[0] for b in blocks])}', 'array<bigint>')"
-    each = f"from_json('{json.dumps(blocks)}', 'array<array<bigint>>')"
+    first = f"from_json('{json.dumps([b[0] for b in blocks])}', 'array<double>')"
+    each = f"from_json('{json.dumps(blocks)}', 'array<array<double>>')"
     block = f"(size(filter({first}, c -> c <= {column})) - 1)"
-    return F.expr(f"if({column} is null or {column} < {cuts[0]}, 0, {block} * {wide} + size(filter({each}[greatest({block}, 0)], c -> c <= {column})))")
+    return F.expr(f"if({column} < {cuts[0]!r}D, 0, {block} * {wide} + size(filter({each}[greatest({block}, 0)], c -> c <= {column})))")
+
+
+def _bucketed(rows: DataFrame) -> tuple[DataFrame, int]:
+    """rows with position (a number that does not fall as the order rises) and bucket (likewise), and how many buckets.
+
+    Quantiles of the position cut ranges, at most CUTS + 1 however many the rows; each range is cut evenly into as many parts
+    as leave about NEIGHBOURS rows in one. Where an id has more rows than that, its position moves up to 1 with the text's
+    hash, so that its rows are cut as well.
+    """
+    ids = rows.select("doc_id")
+    ends = ids.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    low = float(ends["low"] or 0) - 1
+    position = F.coalesce(F.col("doc_id").cast("double"), F.lit(low))
+    if hottest(ids, "doc_id") > NEIGHBOURS:
+        position = position + (F.xxhash64("text").cast("double") / float(2**64) + 0.5)
+    placed = rows.withColumn("position", position)
+    buckets = max(1, math.ceil(ends["n"] / NEIGHBOURS))
+    ranges = min(CUTS + 1, buckets)
+    cuts = []
+    if ranges > 1:
+        found = placed.agg(F.percentile_approx("position", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
+        cuts = sorted({float(c) for c in found or []})
+    parts = math.ceil(buckets / (len(cuts) + 1))
+    number = _range_number("position", cuts) if cuts else F.lit(0)
+    placed = placed.withColumn("_range", number)
+    edges = json.dumps([low, *cuts, float(ends["high"] or 0) + 2])
+    edge = lambda i: f"from_json('{edges}', 'array<double>')[_range + {i}]"
+    part = F.expr(f"greatest(0L, least({parts - 1}L, cast(floor((position - {edge(0)}) / ({edge(1)} - {edge(0)}) * {parts}) as bigint)))")
+    bucket = F.col("_range").cast("long") * parts + (part if parts > 1 else F.lit(0).cast("long"))
+    return placed.withColumn("bucket", bucket).drop("_range"), parts * (len(cuts) + 1)
 
 
 def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     """rows with next_<column> of the next row in descending doc_id, the first following the last.
 
-    Rows are dealt into buckets by ranges of doc_id (approximate quantiles); the first row of each bucket also goes to the
-    bucket before it, as a guest. So neighbours meet without a global sort, and each row is shuffled once. Ties go by text;
-    a null doc_id comes last.
+    Rows are dealt into buckets by ranges of doc_id; the first row of each bucket also goes to the bucket before it, as a
+    guest. So neighbours meet without a global sort, and each row is shuffled once. Rows of one id follow in the order of their
+    texts' hashes, then of the texts; a null doc_id comes last. Rows equal in id and text stay in one bucket.
     """
-    ids = rows.select("doc_id")
-    buckets = max(1, min(MOST_BUCKETS, math.ceil(ids.count() / NEIGHBOURS)))
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)], 20 * buckets)).first()[0] if buckets > 1 else None
-    number = _range_number("doc_id", sorted(set(cuts))) if cuts else F.lit(0)
-    heads = ids.withColumn("bucket", number).groupBy("bucket").agg(F.max("doc_id").alias("head"))  # a row for each bucket
-    line = Window.orderBy(F.col("bucket").desc())
+    placed, buckets = _bucketed(rows)
+    heads = _bucketed(rows.select("doc_id", "text"))[0].groupBy("bucket").agg(F.max("position").alias("head"))  # a row for each bucket
+    line = Window.orderBy(F.col("bucket").desc())  # two numbers for each NEIGHBOURS rows
     heads = heads.select("bucket", "head", F.coalesce(F.lag("bucket").over(line), F.min("bucket").over(Window.partitionBy())).alias("before"))
     heads = materialize(heads, "heads")
-    met = rows.withColumn("bucket", number).join(F.broadcast(heads), "bucket")  # at most MOST_BUCKETS rows
+    met = placed.join(F.broadcast(heads) if buckets <= BROADCAST_HEADS else heads, "bucket")
     own, guest = (F.struct(F.col(c).alias("at"), F.lit(g).alias("guest")) for c, g in (("bucket", 0), ("before", 1)))
-    sent = met.withColumn("_to", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("head")), F.array(own, guest)).otherwise(F.array(own))))
-    w = Window.partitionBy("_to.at").orderBy("_to.guest", F.col("doc_id").desc_nulls_last(), "text")
+    sent = met.withColumn("_to", F.explode(F.when(F.col("position") == F.col("head"), F.array(own, guest)).otherwise(F.array(own))))
+    w = Window.partitionBy("_to.at").orderBy("_to.guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc(), "text")
     out = sent.select("*", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
-    return out.where("_to.guest = 0").drop("_to", "bucket", "head", "before")
+    return out.where("_to.guest = 0").drop("_to", "bucket", "head", "before", "position")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

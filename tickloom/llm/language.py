@@ -1,9 +1,9 @@
 """Language by a string kernel: blended-spectrum n-gram presence, Nystroem landmarks, one-versus-rest ridge regression.
 
 The kernel of two texts is the number of n-grams (n = 1 to 3) present in both, over the root of the product of their own
-numbers. A text is compared with a few landmark texts only; ridge regression on those kernel values, whitened by the
-landmarks' own kernel matrix, gives a score for each language. Scoring is a product of a block of presence rows with the
-landmark matrix, then one with the weights.
+numbers; it is exact. A text is compared with a few landmark texts only; ridge regression on those kernel values, whitened by
+the landmarks' own kernel matrix, gives a score for each language. Scoring is a sparse product of a batch's presence rows with
+the landmarks', then a product with the weights.
 """
 
 from __future__ import annotations
@@ -12,44 +12,47 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import python_ready
+from tickloom.llm.common import materialize, python_ready
 
-#: n-grams are hashed to this many places; presence is exact but for rare shared places.
-PLACES = 1 << 15
 ORDERS = 3
-#: Training texts and landmarks of each language, the first by hash: the bound of what reaches the driver.
-TRAINING = 400
-LANDMARKS = 16
+#: Training texts and landmarks of each language, the first by a hash of the id, and of all languages together.
+TRAINING, MOST_TRAINING = 400, 6400
+LANDMARKS, MOST_LANDMARKS = 16, 512
+#: Languages that are learned: the most frequent ones.
+MOST_LANGUAGES = 256
 RIDGE = 1e-3
 BLOCK = 64
+#: Characters whose n-grams are gathered at a time.
+CHUNK = 1 << 20
 UNKNOWN = "und"
 
-_BASE = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
-_STEP = np.uint32(0x01000193)
-_ASCII = np.where(np.array([chr(i).isalpha() for i in range(128)]), np.arange(128), 32).astype(np.uint32)
+_ASCII = np.where(np.array([chr(i).isalpha() for i in range(128)]), np.arange(128), 32).astype(np.int64)
 
 
 def grams(text: str | None) -> np.ndarray:
-    """The places of the n-grams present in a whole text, lower-cased; ASCII other than letters counts as a space."""
+    """The distinct n-grams of a whole text, lower-cased, as numbers of 21 bits a character; ASCII other than letters is a space."""
     low = (text or "").lower()
-    c = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4")
+    c = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     if not len(c):
         return np.zeros(0, np.int64)
     c = np.where(c < 128, _ASCII[np.minimum(c, 127)], c)
     keep = np.ones(len(c), bool)
     keep[1:] = (c[1:] != 32) | (c[:-1] != 32)
-    c = c[keep].astype(np.uint32)
-    here = np.zeros(PLACES, bool)
-    h = np.zeros(len(c), np.uint32)
-    for n in range(min(ORDERS, len(c))):
-        h = (h[: len(c) - n] * _STEP) ^ (c[n:] + np.uint32(1))
-        x = h * _BASE[n]
-        here[(x ^ (x >> np.uint32(15))) >> np.uint32(17)] = True
-    return np.flatnonzero(here)
+    c = c[keep] + 1
+    found = np.zeros(0, np.int64)
+    for at in range(0, len(c), CHUNK):
+        part = c[at : at + CHUNK + ORDERS - 1]
+        codes, h = [found, part], part
+        for n in range(1, min(ORDERS, len(part))):
+            h = (h[:-1] << 21) | part[n:]
+            codes.append(h)
+        found = pd.unique(np.concatenate(codes))
+    return found
 
 
 def has_letter(text: str | None) -> bool:
@@ -58,55 +61,79 @@ def has_letter(text: str | None) -> bool:
 
 @dataclass
 class Model:
-    """langs in order; landmarks: presence rows over the root of their size; weights: landmark by language."""
+    """langs in order; grams: those of the landmarks, sorted; start, marks: which landmarks have each; sizes: each landmark's
+    number of grams; weights: landmark by language."""
 
     langs: list[str]
-    landmarks: np.ndarray
+    grams: np.ndarray
+    start: np.ndarray
+    marks: np.ndarray
+    sizes: np.ndarray
     weights: np.ndarray
 
+    @classmethod
+    def of(cls, langs: list[str], landmarks: list[np.ndarray]) -> Model:
+        codes = np.concatenate([*landmarks, np.zeros(0, np.int64)])
+        owner = np.repeat(np.arange(len(landmarks), dtype=np.int32), [len(g) for g in landmarks])
+        order = np.argsort(codes, kind="stable")
+        known, first = np.unique(codes[order], return_index=True)
+        return cls(langs, known, np.append(first, len(codes)), owner[order], np.array([max(len(g), 1) for g in landmarks], float), np.zeros((len(landmarks), len(langs))))
+
+    def kernel(self, rows: list[np.ndarray]) -> np.ndarray:
+        """Kernel values of a batch of texts (by their grams) with the landmarks."""
+        m = len(self.sizes)
+        row, code = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate([*rows, np.zeros(0, np.int64)])
+        at = np.searchsorted(self.grams, code)
+        at[at == len(self.grams)] = 0
+        hit = self.grams[at] == code if len(self.grams) else np.zeros(len(code), bool)
+        row, at = row[hit], at[hit]
+        many = self.start[at + 1] - self.start[at] if len(at) else np.zeros(0, np.int64)
+        each = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(self.start[at], many)
+        both = np.bincount(np.repeat(row, many) * m + self.marks[each], minlength=len(rows) * m).reshape(len(rows), m)
+        size = np.array([max(len(r), 1) for r in rows], float)
+        return both / np.sqrt(size[:, None] * self.sizes[None, :])
+
     def scores(self, rows: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(rows), PLACES), np.float32)
-        for i, r in enumerate(rows):
-            x[i, r] = 1
-        size = np.array([max(len(r), 1) for r in rows], np.float64)
-        return ((x @ self.landmarks.T) / np.sqrt(size)[:, None]) @ self.weights
+        return self.kernel(rows) @ self.weights
+
 
+def _kernels(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            found = [k for i in range(0, len(texts), BLOCK) for k in model.kernel([grams(t) for t in texts[i : i + BLOCK]])]
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("rank"), pa.array(found, pa.list_(pa.float64()))], ["lang", "rank", "kernel"])
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [grams(t).astype(np.int32) if has_letter(t) else None for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("hash"), pa.array(found, pa.list_(pa.int32()))], ["lang", "hash", "grams"])
+    return run
 
 
 def train(docs: DataFrame, training: int = TRAINING, landmarks: int = LANDMARKS) -> Model:
     """Fit on at most `training` texts of each language (null languages and texts without letters left out).
 
-    Which: the first by a hash of the id. They are cut out by a hash threshold that leaves about twice as many of each
-    language, so no language's rows are ever ranked in one task.
+    Which: the first by a hash of the id, one text an id. They are cut out by a hash threshold that leaves about twice as many
+    of each language, so no language's rows are ever ranked in one task. With many languages each has fewer, so that
+    MOST_TRAINING and MOST_LANDMARKS bound what is fitted; the driver gets the landmarks' texts and the others' kernel values.
     """
     python_ready(docs.sparkSession)
-    known = docs.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id").alias("hash"))
-    counts = known.groupBy("lang").count().collect()
-    share: Column = F.lit(1.0)
+    known = docs.where("lang is not null").where(F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("doc_id").alias("hash"))
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    if not counts:
+        return Model.of([], [])
+    training = max(2, min(training, MOST_TRAINING // len(counts)))
+    landmarks = max(1, min(landmarks, MOST_LANDMARKS // len(counts)))
+    share: Column = F.lit(-1.0)
     for lang, n in counts:
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, (2 * training + 50) / n))).otherwise(share)
     drawn = known.where((F.col("hash").cast("double") / float(2**64) + 0.5) <= share)
-    data = drawn.mapInArrow(_features, "lang string, hash long, grams array<int>").where("grams is not null").collect()
-    by: dict[str, list[np.ndarray]] = {}
-    for r in sorted(data, key=lambda r: (r["lang"], r["hash"])):
-        if len(held := by.setdefault(r["lang"], [])) < training:
-            held.append(np.array(r["grams"], np.int64))
-    langs = sorted(by)
-    marks = [g for k in langs for g in by[k][:landmarks]]
-    rows = [g for k in langs for g in by[k]]
-    model = Model(langs, np.zeros((len(marks), PLACES), np.float32), np.eye(len(marks)))
-    if not langs:
-        return model
-    for i, g in enumerate(marks):
-        model.landmarks[i, g] = 1 / np.sqrt(max(len(g), 1))
-    k_nm = np.vstack([model.scores(rows[i : i + BLOCK]) for i in range(0, len(rows), BLOCK)])
-    k_mm = model.scores(marks)
-    y = np.vstack([np.where(np.arange(len(langs)) == i, 1.0, -1.0) for i, k in enumerate(langs) for _ in by[k]])
+    drawn = drawn.groupBy("lang", "hash").agg(F.min("text").alias("text")).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("hash")))
+    drawn = materialize(drawn.where(F.col("rank") <= training).select("lang", "rank", "text"), "language-texts")
+    marks = drawn.where(F.col("rank") <= landmarks).orderBy("lang", "rank").collect()
+    langs = sorted({r["lang"] for r in marks})
+    model = Model.of(langs, [grams(r["text"]) for r in marks])
+    rows = drawn.select("lang", "rank", "text").mapInArrow(_kernels(model), "lang string, rank int, kernel array<double>").orderBy("lang", "rank").collect()
+    k_nm = np.array([r["kernel"] for r in rows])
+    k_mm = model.kernel([grams(r["text"]) for r in marks])
+    y = np.array([[1.0 if k == r["lang"] else -1.0 for k in langs] for r in rows])
     model.weights = np.linalg.solve(k_nm.T @ k_nm + RIDGE * len(rows) * k_mm + 1e-8 * np.eye(len(marks)), k_nm.T @ y)
     return model
 
