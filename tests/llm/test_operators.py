@@ -150,8 +150,12 @@ def test_mixing(spark, odd, none):
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
 
+def lowered(text):
+    return (text or "").translate({c: c + 32 for c in range(65, 91)})
+
+
 def brute_base(text):
-    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text))
     at = [(i, label) for p, label in PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     return len(w), sorted(at)
 
@@ -175,6 +179,7 @@ def test_license_rules_and_suppression(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r for r in rows(licenses.scan_documents(df))}
     assert got[0].labels == "apache" and got[0].score == 1.0
+    assert len({x[4] for x in licenses.rules()}) == len(licenses.rules())
     assert got[1].labels == "bsd-3" and got[2].labels == "boost,epl" and got[3].labels == "mpl"
     for r in rows(licenses.scan(df)):  # no kept span lies in one of the same or a better priority
         for a in r.found:
@@ -432,9 +437,39 @@ def test_license_keywords_occur_in_all_matches():
             out = [a + b for a in out for b in new]
         return out
 
-    for rule, _, _, _, keyword, regex in licenses.rules():
+    for rule, _, _, keyword, regex in licenses.rules():
         for text in least(parse(regex)):
-            assert re.search(regex, text + " ") and keyword in text, (rule, keyword, text)
+            assert re.search(regex, text + " ") and keyword and keyword in text, (rule, keyword, text)
+
+
+def brute_licenses(text):
+    """Labels and spans of the rules, by plain loops."""
+    words = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text))) + " "
+    spans = []
+    for i, (label, priority, _, _, regex) in enumerate(licenses.rules()):
+        for m in re.finditer(regex, words):
+            start = words[: m.start()].count(" ")
+            spans.append((start, start + m[0].count(" "), priority, i, label))
+    spans.sort(key=lambda s: (s[0], -s[1], s[2], s[3]))
+    kept = []
+    for n, a in enumerate(spans):
+        if not any(b[0] <= a[0] and a[1] <= b[1] and b[2] <= a[2] for b in spans[:n]):
+            kept.append(a)
+    return kept
+
+
+def test_license_detections_equal_plain_loops(spark, small):
+    samples = [" ".join(re.sub(r"\\w\+", "xx", re.sub(r"\(\?:([^()|]*)[^()]*\)\??", r"\1", regex.strip())).replace("(?= )", "").replace("[cs]", "s").split()) for *_, regex in licenses.rules()]
+    texts = [f"before {a}, then {b}; AND {a.upper()}" for a, b in zip(samples, samples[7:] + samples[:7], strict=True)]
+    texts += [r.text for r in rows(spark.read.parquet(f"{small}/documents.parquet").select("text"))]
+    texts += ["Kelvin \u212a MIT L\u0130CENSE mit license", "cc by cc by cc by-sa 4.0", " ".join(samples)]
+    got = rows(licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    hits = 0
+    for r in got:
+        want = brute_licenses(r.text)
+        assert [(s.start, s.stop, s.priority, s.rule, s.label) for s in r.found] == want, r.text
+        hits += len(want)
+    assert hits > 500
 
 
 def test_near_duplicates_link_sets_of_repeated_and_null_ids(spark):

@@ -1,116 +1,60 @@
 """Licence scan by ordered signature rules, in DataFrame functions only.
 
-Rules are regexes over a text's words (lower case, joined by one space). A keyword that every match contains gates each
-rule. Every rule has a priority; a detection is suppressed where one of higher or equal priority contains its interval.
-One narrow projection does it all: no join, no shuffle.
+Rules are hand-written regexes over a text's words (A-Z lower-cased, joined by one space); see license_rules. A keyword that
+every match contains gates each rule. Every rule has a priority; a detection is suppressed where one of higher or equal
+priority contains its interval. One narrow projection does it all: no join, no shuffle. Each regex is a constant of the plan,
+so a task compiles it once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import string
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.license_rules import KINDS, signatures
+
 #: The base phrases, in words.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+PRIORITIES = 1 + max(p for p, _ in KINDS.values())
+#: Characters that no text of words holds: they mark where a match begins and ends.
+_BEGIN, _END = "\\u0001", "\\u0002"
+
+Rule = tuple[str, int, float, str, str]
 
-#: label, regex of the SPDX id, regex of the name, a word in every match of the name, regex of the address, a word in it.
-LICENSES = [
-    ("mit", "mit", "mit (?:x11 )?licen[cs]e", "mit", "opensource org licenses? mit", "opensource"),
-    ("apache", "apache(?: license)? (?:1 [01]|2(?: 0)?)", "apache (?:software )?licen[cs]e(?: version)?(?: (?:1 [01]|2(?: 0)?))?", "apache", "apache org licenses(?: license 2 0)?", "apache"),
-    ("gpl", "gpl [123](?: 0)?(?: only| or later)?", "(?:gnu )?(?:general public licen[cs]e|gpl)(?: (?:version|v))? ?[123]?(?: 0)?", "gpl|general", "gnu org licenses? (?:old licenses )?gpl(?: [123] 0)?", "gnu"),
-    ("lgpl", "lgpl (?:2|2 1|3)(?: 0)?(?: only| or later)?", "(?:gnu )?(?:lesser|library) general public licen[cs]e(?: version)?(?: (?:2|2 1|3))?", "general", "gnu org licenses? (?:old licenses )?lgpl(?: [23] [01])?", "lgpl"),
-    ("agpl", "agpl [13](?: 0)?(?: only| or later)?", "(?:gnu )?affero general public licen[cs]e(?: version)?(?: [13])?", "affero", "gnu org licenses? agpl(?: 3 0)?", "agpl"),
-    ("gfdl", "gfdl 1 [123](?: only| or later)?", "(?:gnu )?free documentation licen[cs]e(?: version)?(?: 1 [123])?", "documentation", "gnu org licenses? fdl(?: 1 [123])?", "fdl"),
-    ("bsd-2", "bsd 2 clause", "(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two clause bsd) licen[cs]e", "bsd", "opensource org licenses? bsd 2 clause", "bsd"),
-    ("bsd-3", "bsd 3 clause", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd) licen[cs]e", "bsd", "opensource org licenses? bsd 3 clause", "bsd"),
-    ("bsd-4", "bsd 4 clause", "(?:original bsd|bsd 4 clause|4 clause bsd|four clause bsd) licen[cs]e", "bsd", "spdx org licenses? bsd 4 clause", "bsd"),
-    ("bsd", "bsd", "bsd (?:style )?licen[cs]e", "bsd", "opensource org licenses? bsd license", "bsd"),
-    ("isc", "isc", "isc licen[cs]e", "isc", "opensource org licenses? isc", "isc"),
-    ("mpl", "mpl (?:1 [01]|2 0)", "mozilla public licen[cs]e(?: version)?(?: (?:1 [01]|2 0))?", "mozilla", "mozilla org (?:en us )?mpl(?: 2 0)?", "mozilla"),
-    ("epl", "epl [12] 0", "eclipse public licen[cs]e(?: version)?(?: [12] 0)?", "eclipse", "eclipse org (?:legal|org documents) epl", "eclipse"),
-    ("edl", "edl 1 0", "eclipse distribution licen[cs]e(?: version)?(?: 1 0)?", "eclipse", "eclipse org org documents edl", "edl"),
-    ("cddl", "cddl 1 [01]", "common development and distribution licen[cs]e(?: version)?(?: 1 [01])?", "development", "opensource org licenses? cddl", "cddl"),
-    ("cpl", "cpl 1 0", "common public licen[cs]e(?: version)?(?: 1 0)?", "common", "opensource org licenses? cpl", "cpl"),
-    ("eupl", "eupl 1 [012]", "european union public licen[cs]e(?: version)?(?: 1 [012])?", "european", "joinup ec europa eu (?:collection eupl|software page eupl)", "joinup"),
-    ("cecill", "cecill [12](?: [01])?", "cecill (?:free software )?licen[cs]e", "cecill", "cecill info licen[cs]es?", "cecill"),
-    ("artistic", "artistic [12] 0", "artistic licen[cs]e(?: version)?(?: [12] 0)?", "artistic", "perlfoundation org artistic", "artistic"),
-    ("zlib", "zlib", "zlib(?: libpng)? licen[cs]e", "zlib", "zlib net zlib license", "zlib"),
-    ("libpng", "libpng(?: 2 0)?", "(?:png reference library|libpng) licen[cs]e", "png", "libpng org pub png src libpng license", "libpng"),
-    ("boost", "bsl 1 0", "boost software licen[cs]e(?: version)?(?: 1 0)?", "boost", "boost org license 1 0", "boost"),
-    ("busl", "busl 1 1", "business source licen[cs]e(?: version)?(?: 1 1)?", "business", "mariadb com bsl11", "bsl11"),
-    ("sspl", "sspl 1 0", "server side public licen[cs]e(?: version)?(?: 1)?", "server", "mongodb com licensing server side public license", "mongodb"),
-    ("elastic", "elastic 2 0", "elastic licen[cs]e(?: version)?(?: 2 0)?", "elastic", "elastic co licensing elastic license", "elastic"),
-    ("postgresql", "postgresql", "postgresql licen[cs]e", "postgresql", "postgresql org about licen[cs]e", "postgresql"),
-    ("python", "psf 2 0|python 2 0", "python software foundation licen[cs]e(?: version)?(?: 2)?", "python", "python org (?:psf license|3 license html)", "python"),
-    ("php", "php 3 0(?: 1)?", "php licen[cs]e(?: version)?(?: 3 0(?: 1)?)?", "php", "php net license", "php"),
-    ("ruby", "ruby", "ruby licen[cs]e", "ruby", "ruby lang org en about license", "ruby"),
-    ("openssl", "openssl", "openssl licen[cs]e", "openssl", "openssl org source license", "openssl"),
-    ("w3c", "w3c(?: 20150513)?", "w3c (?:software (?:notice and )?)?licen[cs]e", "w3c", "w3 org consortium legal", "consortium"),
-    ("unicode", "unicode dfs 201[56]", "unicode (?:inc )?licen[cs]e agreement", "unicode", "unicode org (?:copyright|license)", "unicode"),
-    ("unlicense", "unlicense", "the unlicense", "unlicense", "unlicense org", "unlicense"),
-    ("wtfpl", "wtfpl", "do what the (?:f\\w*|fuck) you want to public licen[cs]e", "want", "wtfpl net", "wtfpl"),
-    ("ms-pl", "ms pl", "microsoft public licen[cs]e", "microsoft", "opensource org licenses? ms pl", "opensource"),
-    ("ms-rl", "ms rl", "microsoft reciprocal licen[cs]e", "microsoft", "opensource org licenses? ms rl", "opensource"),
-    ("ofl", "ofl 1 [01]", "(?:sil )?open font licen[cs]e(?: version)?(?: 1 [01])?", "font", "scripts sil org ofl", "ofl"),
-    ("odbl", "odbl 1 0", "open database licen[cs]e(?: version)?(?: 1 0)?", "database", "opendatacommons org licenses? odbl", "odbl"),
-    ("odc-by", "odc by 1 0", "open data commons attribution licen[cs]e(?: version)?(?: 1 0)?", "commons", "opendatacommons org licenses? by", "opendatacommons"),
-    ("pddl", "pddl 1 0", "public domain dedication and licen[cs]e(?: version)?(?: 1 0)?", "dedication", "opendatacommons org licenses? pddl", "pddl"),
-    ("cc0", "cc0 1 0", "(?:creative commons (?:zero|cc0)|cc0)(?: licen[cs]e)?(?: 1 0)?(?: universal)?", "c0|zero", "creativecommons org publicdomain zero(?: 1 0)?", "creativecommons"),
-    ("cc-by", "cc by [1234] [05]", "(?:creative commons attribution|cc by)(?: [1234] [05])?(?: (?:international|unported|generic))?(?: licen[cs]e)?", "c", "creativecommons org licenses? by [1234] [05]", "creativecommons"),
-    ("cc-by-sa", "cc by sa [1234] [05]", "(?:creative commons attribution share ?alike|cc by sa)(?: [1234] [05])?", "sa|share", "creativecommons org licenses? by sa(?: [1234] [05])?", "creativecommons"),
-    ("cc-by-nd", "cc by nd [1234] [05]", "(?:creative commons attribution no ?deriv(?:ative)?s(?: works)?|cc by nd)(?: [1234] [05])?", "nd|no", "creativecommons org licenses? by nd(?: [1234] [05])?", "creativecommons"),
-    ("cc-by-nc", "cc by nc [1234] [05]", "(?:creative commons attribution non ?commercial|cc by nc)(?: [1234] [05])?", "nc|commercial", "creativecommons org licenses? by nc(?: [1234] [05])?", "creativecommons"),
-    ("cc-by-nc-sa", "cc by nc sa [1234] [05]", "(?:creative commons attribution non ?commercial share ?alike|cc by nc sa)(?: [1234] [05])?", "sa|share", "creativecommons org licenses? by nc sa(?: [1234] [05])?", "creativecommons"),
-    ("cc-by-nc-nd", "cc by nc nd [1234] [05]", "(?:creative commons attribution non ?commercial no ?deriv(?:ative)?s|cc by nc nd)(?: [1234] [05])?", "nd|no", "creativecommons org licenses? by nc nd(?: [1234] [05])?", "creativecommons"),
-    ("proprietary", "licenseref proprietary", "all rights reserved", "reserved", "proprietary (?:and confidential|licen[cs]e)", "proprietary"),
-    ("public-domain", "licenseref public domain", "(?:released into|dedicated to|placed in(?:to)?|in) the public domain", "domain", "creativecommons org publicdomain mark", "publicdomain"),
-]
-
-GRANT = "(?:re)?(?:licen[cs]ed|released|distributed|published|redistributed|available|provided|offered|covered|shared) under (?:an? )?(?:the )?(?:(?:terms|conditions)(?: and conditions)? of )?(?:the )?"
-#: kind, priority (0 wins), weight, the regex before and after the part, which part, a word that every match contains (null: the part's).
-TEMPLATES = [
-    ("tag", 0, 1.0, "spdx licen[cs]e identifiers? (?:\\w+ (?:or|and) )?", "", 1, "spdx"),
-    ("field", 1, 0.95, "(?:licen[cs]es?|licen[cs]e (?:id|name|type)) (?:is )?", "", 1, "licen"),
-    ("grant", 1, 0.9, GRANT, "", 2, "under"),
-    ("terms", 1, 0.85, "(?:subject to|governed by|according to|in accordance with|comply with|compliance with) (?:the )?(?:terms (?:and conditions )?of )?(?:the )?", "", 2, None),
-    ("address", 1, 0.8, "(?:https? )?(?:www )?", "", 4, None),
-    ("name", 2, 0.6, "", "", 2, None),
-]
-#: A word or part of one in every text that any rule matches.
-STEMS = ["licen", " cc by ", " cc0 ", "creative", "public domain", "rights reserved", "gpl", "spdx", "proprietary", " org ", " net ", "mariadb com", "elastic co", "joinup"]
-PRIORITIES = 1 + max(t[1] for t in TEMPLATES)
-
-
-def rules() -> list[tuple[int, str, int, float, str, str]]:
-    """(rule, label, priority, weight, keyword, regex), in order: every template for every licence."""
-    out = []
-    for kind, priority, weight, before, after, part, word in TEMPLATES:
-        for row in LICENSES:
-            keyword = word or (row[3] if part == 2 else row[5])
-            keyword = "" if "|" in keyword else keyword
-            out.append((len(out), row[0], priority, weight, keyword, f" {before}(?:{row[part]}){after}(?= )"))
-    return out
-
-
-def _table(rows: list[tuple]) -> Column:
-    return F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(label).alias("label"), F.lit(p).alias("priority"), F.lit(w).alias("weight"), F.lit(k).alias("keyword"), F.lit(x).alias("regex")) for i, label, p, w, k, x in rows])
+
+def rules() -> list[Rule]:
+    """(label, priority, weight, keyword, regex), in order. A match begins with the space before its first word."""
+    return [(label, *KINDS[kind], keyword, f" (?:{regex})(?= )") for label, kind, keyword, regex in signatures()]
 
 
 def _spaces(x: str) -> str:
     return f"(length({x}) - length(replace({x}, ' ', '')))"
 
 
-#: All places of the rules in `_rules` in the spaced words: gaps and hits alternate, and a place is the spaces before it.
-_SPANS = f"""
-flatten(transform(filter(_rules, r -> contains(_words, r.keyword) and rlike(_words, r.regex)), r -> aggregate(
-  arrays_zip(split(_words, r.regex, -1), regexp_extract_all(_words, r.regex, 0)),
-  struct(0 as at, cast(array() as array<struct<start:int,stop:int,priority:int,rule:int,label:string,weight:double>>) as spans),
-  (s, z) -> if(z.`1` is null, s, struct(
-    s.at + {_spaces("z.`0`")} + {_spaces("z.`1`")} as at,
-    concat(s.spans, array(struct(s.at + {_spaces("z.`0`")} as start, s.at + {_spaces("z.`0`")} + {_spaces("z.`1`")} as stop, r.priority as priority, r.rule as rule, r.label as label, r.weight as weight))) as spans)),
-  s -> s.spans)))
-"""
-_ORDERED = "transform(array_sort(transform({spans}, s -> struct(s.start as start, -s.stop as back, s.priority as priority, s.rule as rule, s.label as label, s.weight as weight))), s -> struct(s.start as start, -s.back as stop, s.priority as priority, s.rule as rule, s.label as label, s.weight as weight))"
+_SPAN = "struct<start:int,stop:int,priority:int,rule:int,label:string,weight:double>"
+
+
+def _spans(rows: list[Rule]) -> str:
+    """SQL: all places of the rules in _words, ordered by start, longest first, priority and rule.
+
+    A rule whose keyword is there yields the words with its matches marked; a match starts after as many words as spaces are
+    before it.
+    """
+    by: dict[str, list[int]] = {}
+    for i, row in enumerate(rows):
+        by.setdefault(row[3], []).append(i)
+    marked = lambda i: f"struct({i} as rule, regexp_replace(_words, r'({rows[i][4]})', '{_BEGIN}$1{_END}') as words)"
+    gated = ", ".join(f"if(contains(_words, '{word}'), array({', '.join(map(marked, numbers))}), null)" for word, numbers in by.items())
+    labels, priorities, weights = ("array(" + ", ".join(f"{x!r}" + ("D" if isinstance(x, float) else "") for x in column) + ")" for column in list(zip(*rows, strict=True))[:3])
+    hits = f"filter(flatten(filter(array({gated}), x -> x is not null)), r -> contains(r.words, '{_BEGIN}'))"
+    one = f"""
+  aggregate(split(r.words, '{_BEGIN}'), struct(-1 as at, cast(array() as array<struct<start:int,stop:int>>) as spans),
+    (s, part) -> struct(if(s.at < 0, 0, s.at) + {_spaces("part")} as at,
+      if(s.at < 0, s.spans, concat(s.spans, array(struct(s.at as start, s.at + {_spaces(f"substring_index(part, '{_END}', 1)")} as stop)))) as spans), s -> s.spans)"""
+    every = f"flatten(transform({hits}, r -> transform({one}, z -> struct(z.start as start, -z.stop as back, {priorities}[r.rule] as priority, r.rule as rule, {labels}[r.rule] as label, {weights}[r.rule] as weight))))"
+    return f"transform(array_sort({every}), s -> cast(struct(s.start as start, -s.back as stop, s.priority as priority, s.rule as rule, s.label as label, s.weight as weight) as {_SPAN}))"
 
 
 def _kept(spans: str) -> str:
@@ -118,7 +62,7 @@ def _kept(spans: str) -> str:
     reach = ", ".join("-1" for _ in range(PRIORITIES))
     held = " or ".join(f"(s.reach[{p}] >= d.stop and {p} <= d.priority)" for p in range(PRIORITIES))
     new = ", ".join(f"if(d.priority = {p}, greatest(s.reach[{p}], d.stop), s.reach[{p}])" for p in range(PRIORITIES))
-    kind = "array<struct<start:int,stop:int,priority:int,rule:int,label:string,weight:double>>"
+    kind = f"array<{_SPAN}>"
     return f"aggregate({spans}, struct(array({reach}) as reach, cast(array() as {kind}) as kept), (s, d) -> struct(array({new}) as reach, if({held}, s.kept, concat(s.kept, array(d))) as kept), s -> s.kept)"
 
 
@@ -126,23 +70,16 @@ def scan(docs: DataFrame) -> DataFrame:
     """Add n_words, base (places of the base phrases) and found (detections that no better one contains) to documents.
 
     Both are arrays of (start, stop, priority, rule, label, weight), in words from 0, stop exclusive. Words are runs of other
-    than ASCII non-alphanumerics in the lower-cased whole text. Null and empty texts have no words and empty arrays. Every
-    row is scanned by itself, so repeated rows give repeated results. Columns of docs of the same names are replaced.
+    than ASCII non-alphanumerics in the whole text, A-Z lower-cased. Null and empty texts have no words and empty arrays.
+    Every row is scanned by itself, so repeated rows give repeated results. Columns of docs of the same names are replaced.
     """
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce("text", F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")), F.lit(" "))
+    low = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")), F.lit(" "))
     named = docs.drop("n_words", "base", "found").withColumn("_words", words)
-    gate = F.lit(False)
-    for stem in STEMS:
-        gate = gate | F.contains("_words", F.lit(stem))
-    kind = "array<struct<start:int,stop:int,priority:int,rule:int,label:string,weight:double>>"
-    empty = F.expr(f"cast(array() as {kind})")
-    base_rules = [(i, label, 0, 1.0, phrase, f" {phrase}(?= )") for i, (phrase, label) in enumerate(BASE.items())]
-    gated = named.withColumn("_gate", gate)
-    based = gated.withColumn("_rules", _table(base_rules)).withColumn("base", F.when(F.col("_gate"), F.expr(_ORDERED.format(spans=_SPANS))).otherwise(empty))
-    ruled = based.withColumn("_rules", _table(rules())).withColumn("_spans", F.when(F.col("_gate"), F.expr(_ORDERED.format(spans=_SPANS))).otherwise(empty))
-    out = ruled.withColumn("found", F.expr(_kept("_spans")))
+    base = [(label, 0, 1.0, phrase, f" {phrase}(?= )") for phrase, label in BASE.items()]
+    out = named.withColumn("base", F.expr(_spans(base))).withColumn("_spans", F.expr(_spans(rules()))).withColumn("found", F.expr(_kept("_spans")))
     n_words = F.when(F.length("_words") <= 2, F.lit(0)).otherwise(F.octet_length("_words") - F.octet_length(F.replace("_words", F.lit(" "), F.lit(""))) - 1)
-    return out.withColumn("n_words", n_words.cast("long")).drop("_words", "_gate", "_rules", "_spans")
+    return out.withColumn("n_words", n_words.cast("long")).drop("_words", "_spans")
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
