@@ -161,9 +161,10 @@ def depth_minutes(depth: DataFrame) -> DataFrame:
 def ticker_minutes(quotes: DataFrame) -> DataFrame:
     """Minute statistics of (symbol, ts, update_id, best_bid_price, best_bid_qty, best_ask_price, best_ask_qty).
 
-    Changes are counted against the quote before, also across minutes, in order of ts and update_id.
+    Changes are counted against the quote before, also across minutes, in order of ts and update_id. Each (symbol, UTC day)
+    starts anew, as its archive does: its first quote is no change, and a task sorts one day at most.
     """
-    w = Window.partitionBy("symbol").orderBy("ts", "update_id")
+    w = Window.partitionBy("symbol", F.to_date("ts")).orderBy("ts", "update_id")
     b, a = F.col("best_bid_price"), F.col("best_ask_price")
     changed = lambda c: F.coalesce((c != F.lag(c).over(w)).cast("long"), F.lit(0))
     q = quotes.withColumns({"mid": (b + a) / 2, "sp": a - b, "_b": changed(b), "_a": changed(a), "_m": F.window("ts", "1 minute")["start"]})
@@ -171,7 +172,7 @@ def ticker_minutes(quotes: DataFrame) -> DataFrame:
     last = lambda c: F.max_by(c, at)
     m = q.groupBy("symbol", F.col("_m").alias("minute")).agg(
         last("best_bid_price").alias("best_bid"), last("best_ask_price").alias("best_ask"), last("best_bid_qty").alias("best_bid_qty"), last("best_ask_qty").alias("best_ask_qty"),
-        last("mid").alias("mid_price"), last("sp").alias("spread"), F.min("sp").alias("spread_min"), F.max("sp").alias("spread_max"), F.avg("sp").alias("spread_avg"), F.stddev_samp("sp").alias("spread_std"),
+        last("mid").alias("mid_price"), last("sp").alias("spread"), last(F.try_divide("sp", "mid") * 100).alias("spread_pct"), F.min("sp").alias("spread_min"), F.max("sp").alias("spread_max"), F.avg("sp").alias("spread_avg"), F.stddev_samp("sp").alias("spread_std"),
         (F.max("mid") - F.min("mid")).alias("mid_price_range"), F.stddev_samp("mid").alias("mid_price_std"), F.min_by("mid", at).alias("_first"), F.sum("_b").alias("best_bid_changes"), F.sum("_a").alias("best_ask_changes"),
         F.count(F.lit(1)).alias("tick_count"), F.avg("best_bid_qty").alias("best_bid_qty_avg"), F.max("best_bid_qty").alias("best_bid_qty_max"), F.avg("best_ask_qty").alias("best_ask_qty_avg"), F.max("best_ask_qty").alias("best_ask_qty_max"),
     )

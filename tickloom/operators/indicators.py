@@ -141,6 +141,29 @@ def directional_movement(bars: DataFrame) -> DataFrame:
     return bars.withColumns({"plus_dm": F.when((up > down) & (up > 0), up).otherwise(0.0), "minus_dm": F.when((down > up) & (down > 0), down).otherwise(0.0)})
 
 
+def adx_strength(value: str | Column) -> Column:
+    """What an ADX says of the trend, in words; NULL stays NULL."""
+    v = F.col(value) if isinstance(value, str) else value
+    # The limits and the words.
+    return F.when(v < 25, "Weak/Absent trend (sideways)").when(v < 50, "Strong trend").when(v < 75, "Very strong trend").when(v.isNotNull(), "Extremely strong trend (possible exhaustion)")
+
+
+def trend_direction(plus: str, minus: str) -> dict[str, Column]:
+    """The direction that the two DI give (equal ones are bearish), and how clear it is; NULL where one is."""
+    p, m = F.col(plus), F.col(minus)
+    away = F.abs(p - m)
+    # The limits and the words.
+    strength = F.when(away < 5, "Weak direction").when(away < 15, "Moderate direction").when(away < 30, "Strong direction").when(away.isNotNull(), "Very strong direction")
+    return {"direction": F.when(p > m, "Bullish").when(away.isNotNull(), "Bearish"), "direction_strength": strength}
+
+
+def squeeze_events(banded: DataFrame, name: str, since: Column, most: int = 20) -> DataFrame:
+    """symbol, ts, close, bandwidth, upper, lower of the latest `most` squeezes of each symbol from `since` on."""
+    hits = banded.where((F.col("ts") >= since) & F.col(f"{name}_squeeze"))
+    newest = Window.partitionBy("symbol").orderBy(F.col("ts").desc())
+    return hits.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= most).select("symbol", "ts", "close", *[F.col(f"{name}_{c}").alias(c) for c in ("bandwidth", "upper", "lower")])
+
+
 def obv(bars: DataFrame) -> DataFrame:
     signed = bars.withColumn("_s", F.coalesce(F.signum(F.col("close") - r.prev("close")), F.lit(0.0)) * F.col("volume"))
     return signed.withColumn("obv", F.sum("_s").over(r.so_far())).drop("_s")

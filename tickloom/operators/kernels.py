@@ -128,6 +128,28 @@ def rolling_rank(x: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def rank_in_window(x: np.ndarray, length: int, least: int) -> np.ndarray:
+    """Per cent of the last `length` values, this one included, below each value; NULL under `least` values or with a NULL.
+
+    Blocks of rows are compared with their windows at once, so memory is a block times a window.
+    """
+    out = np.full(len(x), np.nan)
+    padded = np.concatenate([np.full(length - 1, np.inf), x])
+    seen = np.minimum(np.arange(1, len(x) + 1), length)
+    bad = np.convolve(np.isnan(x), np.ones(length))[: len(x)] > 0.5 if len(x) else np.zeros(0, bool)
+    for at in range(0, len(x), 1024):
+        stop = min(at + 1024, len(x))
+        windows = np.lib.stride_tricks.sliding_window_view(padded[at : stop + length - 1], length)
+        out[at:stop] = 100.0 * (windows < x[at:stop, None]).sum(1) / seen[at:stop]
+    out[(seen < least) | bad] = np.nan
+    return out
+
+
+def add_rank(bars: DataFrame, c: str, windows: dict[str, tuple[int, int]]) -> DataFrame:
+    """Columns by name of (length, least): the percentile of c in a window that ends with the row."""
+    return grouped(bars, [c], {n: "double" for n in windows}, lambda v: {n: rank_in_window(v[c].astype(float), *w) for n, w in windows.items()})
+
+
 def add_ema(bars: DataFrame, periods: list[int], of: str = "close") -> DataFrame:
     return grouped(bars, [of], {f"ema_{p}": "double" for p in periods}, lambda c: {f"ema_{p}": ema(c[of], p) for p in periods})
 

@@ -1,4 +1,7 @@
-"""Upserts as pure functions of a target and a source: each returns the new target. Keys are joined once, by hash."""
+"""Upserts as pure functions of a target and a source: each returns the new target. Keys are joined once, by hash.
+
+Of several source rows with one key one is taken (which, is not defined), so no target row is multiplied or inserted twice.
+"""
 
 from __future__ import annotations
 
@@ -8,16 +11,17 @@ from pyspark.sql import functions as F
 
 def append_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Insert rows whose key is not there; do nothing for others."""
-    return target.unionByName(source.join(target.select(*keys), keys, "left_anti"))
+    return target.unionByName(source.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti"))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert or replace whole rows. The source has one row a key."""
+    """Insert or replace whole rows."""
+    source = source.dropDuplicates(keys)
     return target.join(source.select(*keys), keys, "left_anti").unionByName(source.select(*target.columns))
 
 
 def _matched(target: DataFrame, source: DataFrame, keys: list[str], columns: list[str], how: str) -> DataFrame:
-    new = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
+    new = source.dropDuplicates(keys).select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
     return target.join(new, keys, how)
 
 

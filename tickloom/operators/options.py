@@ -50,10 +50,14 @@ def volume(chain: DataFrame) -> DataFrame:
 
 
 def change_24h(snapshots: DataFrame, value: str) -> DataFrame:
-    """Add <value>_prev: of the latest snapshot at least 24 hours before; at most 48 hours back. One window, no self-join."""
+    """Add <value>_prev: of the latest snapshot at least 24 hours before, and of the UTC day before at the earliest.
+
+    One window, no self-join.
+    """
     seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
     w = Window.partitionBy("currency").orderBy("_t").rangeBetween(-172800, -86400)
-    return snapshots.withColumn("_t", seconds).withColumn(f"{value}_prev", F.max_by(value, "_t").over(w)).drop("_t")
+    first = F.unix_timestamp(F.date_sub(F.to_date("ts"), 1).cast("timestamp"))
+    return snapshots.withColumn("_t", seconds).withColumn(f"{value}_prev", F.when(F.max("_t").over(w) >= first, F.max_by(value, "_t").over(w))).drop("_t")
 
 
 def atm_iv(chain: DataFrame, by: list[str]) -> DataFrame:

@@ -22,20 +22,18 @@ def _metrics(spark, d):
     return B.metrics(B.from_levels(_levels(spark, d), ["book"]))
 
 
-def _nudged(df, columns):
-    """A billionth more: quotients that end exactly between two sixth places would round either way in their last bit."""
-    return rounded(df.withColumns({c: F.col(c) + 1e-9 for c in columns}))
-
-
 @query(f"""with {_LEVELS}, m as (select l.*, bb, ba, (bb + ba) / 2 as mid from levels l join best using (book)),
   s as (select book, any_value(bb) as best_bid, any_value(ba) as best_ask, any_value(mid) as mid_price, sum(v) filter (where p = bb and side = 'bid') as bv, sum(v) filter (where p = ba and side = 'ask') as av,
     coalesce(sum(v) filter (where side = 'bid'), 0) as bid_vol_total, coalesce(sum(v) filter (where side = 'ask'), 0) as ask_vol_total,
     sum(p * v) filter (where side = 'bid') as bpv, sum(p * v) filter (where side = 'ask') as apv from m group by 1)
 select book, round(best_bid, 6) as best_bid, round(best_ask, 6) as best_ask, round(mid_price, 6) as mid_price, round(best_ask - best_bid, 6) as spread, round((best_ask - best_bid) / mid_price * 100, 6) as spread_pct,
-  round((best_bid * av + best_ask * bv) / (bv + av), 6) as microprice, round(bpv / bid_vol_total + 1e-9, 6) as bid_vwap, round(apv / ask_vol_total + 1e-9, 6) as ask_vwap, bid_vol_total, ask_vol_total,
+  round((best_bid * av + best_ask * bv) / (bv + av), 6) as microprice, floor(bpv / bid_vol_total * 1e6 + 0.3) / 1e6 as bid_vwap, floor(apv / ask_vol_total * 1e6 + 0.3) / 1e6 as ask_vwap, bid_vol_total, ask_vol_total,
   round((bid_vol_total - ask_vol_total) / (bid_vol_total + ask_vol_total), 6) as imbalance, (bid_vol_total + ask_vol_total) / 2 as liquidity from s""")
 def book_prices(spark, d):
-    return _nudged(_metrics(spark, d).select("book", "best_bid", "best_ask", "mid_price", "spread", "spread_pct", "microprice", "bid_vwap", "ask_vwap", "bid_vol_total", "ask_vol_total", "imbalance", "liquidity"), ["bid_vwap", "ask_vwap"])
+    found = _metrics(spark, d).select("book", "best_bid", "best_ask", "mid_price", "spread", "spread_pct", "microprice", "bid_vwap", "ask_vwap", "bid_vol_total", "ask_vol_total", "imbalance", "liquidity")
+    # Quotients by whole numbers may end on a half of a sixth place, where engines round either way: these go up from seven tenths.
+    cut = {c: F.floor(F.col(c) * 1e6 + 0.3) / 1e6 for c in ("bid_vwap", "ask_vwap")}
+    return found.select(*[cut.get(c, F.round(c, 6)).alias(c) if t == "double" else c for c, t in found.dtypes])
 
 
 _NEAR = " , ".join(f"coalesce(sum(v) filter (where side = '{s}' and abs(p - mid) <= mid * {pct}::double / 100), 0) as {s}_vol_{n}" for s in ("bid", "ask") for n, pct in (("01pct", 0.1), ("05pct", 0.5), ("1pct", 1.0)))
@@ -59,16 +57,16 @@ def _slip_sql(side: str, order: str, amounts: tuple[int, ...]) -> str:
     return f"(select book, {cols} from (select book, p, p * v * 10 as pv, coalesce(sum(p * v * 10) over (partition by book order by p {order} rows between unbounded preceding and 1 preceding), 0) as before, first_value(p) over (partition by book order by p {order}) as best from levels where side = '{side}') group by book)"
 
 
-@query(f"with {_LEVELS} select b.book, round(a.s10000 + 1e-9, 6) as slippage_buy_10k, round(a.s50000 + 1e-9, 6) as slippage_buy_50k, round(a.s100000 + 1e-9, 6) as slippage_buy_100k, round(x.s10000 + 1e-9, 6) as slippage_sell_10k, round(x.s50000 + 1e-9, 6) as slippage_sell_50k, round(x.s100000 + 1e-9, 6) as slippage_sell_100k from best b join {_slip_sql('ask', 'asc', (10_000, 50_000, 100_000))} a on a.book = b.book join {_slip_sql('bid', 'desc', (10_000, 50_000, 100_000))} x on x.book = b.book")
+@query(f"with {_LEVELS} select b.book, round(a.s10000, 9) as slippage_buy_10k, round(a.s50000, 9) as slippage_buy_50k, round(a.s100000, 9) as slippage_buy_100k, round(x.s10000, 9) as slippage_sell_10k, round(x.s50000, 9) as slippage_sell_50k, round(x.s100000, 9) as slippage_sell_100k from best b join {_slip_sql('ask', 'asc', (10_000, 50_000, 100_000))} a on a.book = b.book join {_slip_sql('bid', 'desc', (10_000, 50_000, 100_000))} x on x.book = b.book")
 def book_slippage(spark, d):
     levels = _levels(spark, d).withColumn("v", F.col("v") * 10)
     names = [f"slippage_{w}_{n}k" for w in ("buy", "sell") for n in (10, 50, 100)]
-    return _nudged(B.metrics(B.from_levels(levels, ["book"])).select("book", *names), names)
+    return rounded(B.metrics(B.from_levels(levels, ["book"])).select("book", *names), 9)
 
 
-@query(f"""with {_LEVELS} select b.book, '[' || string_agg('{{"p":' || round(p, 2)::varchar || ',"v":' || round(v, 8)::varchar || '}}', ',' order by p desc) || ']' as bid_levels, count(*)::int as bid_level_count from best b join levels l on l.book = b.book and l.side = 'bid' group by 1""")
+@query(f"""with {_LEVELS} select b.book, '[' || string_agg('{{"p":' || round(p, 2)::varchar || ',"v":' || round(v, 8)::varchar || '}}', ',' order by p desc) || ']' as bid_levels, count(*)::int as bid_level_count, any_value(ask_levels) as ask_levels, any_value(ask_level_count) as ask_level_count from best b join levels l on l.book = b.book and l.side = 'bid' join (select book, '[' || string_agg('{{"p":' || round(p, 2)::varchar || ',"v":' || round(v, 8)::varchar || '}}', ',' order by p) || ']' as ask_levels, count(*)::int as ask_level_count from levels where side = 'ask' group by 1) k on k.book = b.book group by 1""")
 def book_levels_json(spark, d):
-    return _metrics(spark, d).select("book", "bid_levels", "bid_level_count")
+    return _metrics(spark, d).select("book", "bid_levels", "bid_level_count", "ask_levels", "ask_level_count")
 
 
 def _messages(spark, d):
@@ -118,11 +116,11 @@ def _quotes(spark, d, symbol: str = "event_type"):
     return table(spark, d, "events").select(F.col(symbol).alias("symbol"), "ts", F.col("event_id").alias("update_id"), F.col("value").alias("best_bid_price"), (F.col("user_id") % 7).cast("double").alias("best_bid_qty"), (F.col("value") + 0.5 + F.col("user_id") % 10).alias("best_ask_price"), (F.col("user_id") % 5).cast("double").alias("best_ask_qty"))
 
 
-_TICKER = f"""{_QUOTES.replace("'hour'", "'minute'")}, q as (select *, (a + b) / 2 as mid, a - b as sp, coalesce((b <> lag(b) over w)::bigint, 0) as cb, coalesce((a <> lag(a) over w)::bigint, 0) as ca from quotes window w as (partition by symbol order by ts, update_id)),
-  m as (select symbol, minute, arg_max(b, (ts, update_id)) as best_bid, arg_max(a, (ts, update_id)) as best_ask, arg_max(bq, (ts, update_id)) as best_bid_qty, arg_max(aq, (ts, update_id)) as best_ask_qty, arg_max(mid, (ts, update_id)) as mid_price, arg_max(sp, (ts, update_id)) as spread,
+_TICKER = f"""{_QUOTES.replace("'hour'", "'minute'")}, q as (select *, (a + b) / 2 as mid, a - b as sp, coalesce((b <> lag(b) over w)::bigint, 0) as cb, coalesce((a <> lag(a) over w)::bigint, 0) as ca from quotes window w as (partition by symbol, ts::date order by ts, update_id)),
+  m as (select symbol, minute, arg_max(b, (ts, update_id)) as best_bid, arg_max(a, (ts, update_id)) as best_ask, arg_max(bq, (ts, update_id)) as best_bid_qty, arg_max(aq, (ts, update_id)) as best_ask_qty, arg_max(mid, (ts, update_id)) as mid_price, arg_max(sp, (ts, update_id)) as spread, arg_max(struct_pack(v := sp / nullif(mid, 0) * 100), (ts, update_id)).v as spread_pct,
     min(sp) as spread_min, max(sp) as spread_max, avg(sp) as spread_avg, stddev_samp(sp) as spread_std, max(mid) - min(mid) as mid_price_range, stddev_samp(mid) as mid_price_std, arg_min(mid, (ts, update_id)) as f, sum(cb)::bigint as best_bid_changes, sum(ca)::bigint as best_ask_changes,
     count(*) as tick_count, avg(bq) as best_bid_qty_avg, max(bq) as best_bid_qty_max, avg(aq) as best_ask_qty_avg, max(aq) as best_ask_qty_max from q group by 1, 2)"""
-_TCOLS = ("best_bid", "best_ask", "best_bid_qty", "best_ask_qty", "mid_price", "spread", "spread_min", "spread_max", "spread_avg", "spread_std", "mid_price_range", "mid_price_std", "best_bid_qty_avg", "best_bid_qty_max", "best_ask_qty_avg", "best_ask_qty_max")
+_TCOLS = ("best_bid", "best_ask", "best_bid_qty", "best_ask_qty", "mid_price", "spread", "spread_pct", "spread_min", "spread_max", "spread_avg", "spread_std", "mid_price_range", "mid_price_std", "best_bid_qty_avg", "best_bid_qty_max", "best_ask_qty_avg", "best_ask_qty_max")
 _TSEL = ", ".join(f"round({c}, 6) as {c}" for c in _TCOLS) + ", best_bid_changes, best_ask_changes, tick_count, round(case when f > 0 then (mid_price - f) / f else 0.0 end, 6) as price_momentum, round(case when best_bid_qty + best_ask_qty > 0 then (best_bid * best_ask_qty + best_ask * best_bid_qty) / (best_bid_qty + best_ask_qty) else mid_price end, 6) as microprice"
 
 
@@ -131,10 +129,10 @@ def ticker_minutes(spark, d):
     return rounded(B.ticker_minutes(_quotes(spark, d)))
 
 
-@query(f"with {_DEPTH}, {_TICKER}, dm as (select distinct symbol, minute from depth where value_ok), z as (select symbol, minute from m where tick_count > 1) select dm.symbol, dm.minute, z.minute is not null as has_ticker from dm left join z on z.symbol = dm.symbol and z.minute = dm.minute".replace("depth where value_ok", "depth"))
+@query(f"with {_DEPTH}, {_TICKER}, dm as (select distinct symbol, minute from depth where value_ok), z as (select symbol, minute, mid_price, tick_count from m where tick_count > 1) select dm.symbol, dm.minute, z.minute is not null as has_ticker, round(z.mid_price, 6) as mid_price, z.tick_count from dm left join z on z.symbol = dm.symbol and z.minute = dm.minute".replace("depth where value_ok", "depth"))
 def depth_with_ticker(spark, d):
     ticker = B.ticker_minutes(_quotes(spark, d)).where("tick_count > 1")
-    return B.combined(B.depth_minutes(_depth(spark, d)), ticker).select("symbol", "minute", F.col("tick_count").isNotNull().alias("has_ticker"))
+    return rounded(B.combined(B.depth_minutes(_depth(spark, d)), ticker).select("symbol", "minute", F.col("tick_count").isNotNull().alias("has_ticker"), "mid_price", "tick_count"))
 
 
 @query(f"with {_DEPTH} select distinct symbol, minute::date as day, strftime(minute, '%Y-%m') as month from (select symbol, minute, count(*) filter (where percentage = '-5.00' and ts = l) as n, count(*) filter (where percentage = '5.00' and ts = l) as k from (select *, max(ts) over (partition by symbol, minute) as l from depth) group by 1, 2) where n = 0 and k > 0")

@@ -307,3 +307,60 @@ select t.symbol, t.ts, round(case when dir = 1 then v when dir = -1 then u end,
 from t left join s on s.symbol = t.symbol and s.rn = t.rn""")
 def supertrend(spark, d):
     return rounded(K.add_supertrend(hourly(spark, d), [(14, 2.5)]).drop("high", "low", "close"))
+
+
+# More configurations, and the set of a volatility index (here of quarter-hour bars).
+#: Period and deviations of the band settings on a simple mean.
+BANDS = [(3, 2.0), (5, 2.0), (10, 1.5), (14, 2.0), (20, 1.0), (20, 1.618), (20, 2.0), (20, 3.0), (21, 2.0), (34, 2.0), (89, 2.0)]
+
+
+def _band(p: int, k: float) -> str:
+    return f"bollinger_bands_sma_{p}_{str(k).replace('.', '_')}"
+
+
+def _band_columns(p: int, k: float) -> str:
+    m, s, n = f"m{p}", f"s{p}", _band(p, k)
+    return f"""round({m} + {k} * {s}, 6) as {n}_upper, round({m} - {k} * {s}, 6) as {n}_lower, round(2 * {k} * {s} / nullif({m}, 0) * 100, 6) as {n}_bandwidth, 2 * {k} * {s} / nullif({m}, 0) * 100 < 5.0 as {n}_squeeze"""
+
+
+@query(f"with {BARS}, x as (select *, {', '.join(f'{_f("avg", "close", p)} as m{p}, {_f("stddev_samp", "close", p)} as s{p}' for p in sorted({p for p, _ in BANDS}))} from bars) select symbol, ts, {', '.join(_band_columns(p, k) for p, k in BANDS)} from x")
+def bollinger_settings(spark, d):
+    bars = hourly(spark, d)
+    for p, k in BANDS:
+        bars = I.bollinger(bars, p, k)
+    return rounded(bars.select("symbol", "ts", *[f"{_band(p, k)}_{x}" for p, k in BANDS for x in ("upper", "lower", "bandwidth", "squeeze")]))
+
+
+@query(f"""with {BARS}, x as (select *, {_f('avg', 'close', 5)} as m, {_f('stddev_samp', 'close', 5)} as s from bars), b as (select *, 4.0 * s / nullif(m, 0) * 100 as w, m + 2.0 * s as u, m - 2.0 * s as l from x),
+  n as (select *, row_number() over (partition by symbol order by ts desc) as n from b where w < 5.0 * 8 and ts >= timestamp '2024-01-10') select symbol, ts, round(close, 6) as close, round(w, 6) as bandwidth, round(u, 6) as upper, round(l, 6) as lower from n where n <= 20""")
+def squeeze_events(spark, d):
+    name = _band(5, 2.0)
+    banded = I.bollinger(hourly(spark, d), 5, 2.0).withColumn(f"{name}_squeeze", F.col(f"{name}_bandwidth") < 40.0)
+    return rounded(I.squeeze_events(banded, name, F.lit("2024-01-10").cast("timestamp_ntz")))
+
+
+@query(f"""with {BARS}, a as (select symbol, ts, high - low as v, open as p, close as m from bars) select symbol, ts, case when v < 25 then 'Weak/Absent trend (sideways)' when v < 50 then 'Strong trend' when v < 75 then 'Very strong trend' else 'Extremely strong trend (possible exhaustion)' end as strength,
+  case when p > m then 'Bullish' else 'Bearish' end as direction, case when abs(p - m) < 5 then 'Weak direction' when abs(p - m) < 15 then 'Moderate direction' when abs(p - m) < 30 then 'Strong direction' else 'Very strong direction' end as direction_strength from a""")
+def adx_texts(spark, d):
+    a = hourly(spark, d).select("symbol", "ts", (F.col("high") - F.col("low")).alias("v"), F.col("open").alias("p"), F.col("close").alias("m"))
+    return a.select("symbol", "ts", I.adx_strength("v").alias("strength"), *[c.alias(n) for n, c in I.trend_direction("p", "m").items()])
+
+
+_QUARTERS = bars_sql("date_trunc('hour', ts) + interval '15 minutes' * (extract(minute from ts)::int // 15)")
+
+
+def _rank_sql(n: int, least: int) -> str:
+    return f"case when len(list(close) {_w(n)}) >= {least} then 100.0 * len(list_filter(list(close) {_w(n)}, lambda x: x < close)) / len(list(close) {_w(n)}) end"
+
+
+@query(f"""with {_QUARTERS}, x as (select symbol, ts, close, {_f('avg', 'close', 24)} as sma_24, {_f('avg', 'close', 168)} as sma_168, lag(close, 24) {LAG} as p24, {_f('avg', 'close', 720)} as m, {_f('stddev_samp', 'close', 720)} as s,
+  {_f('avg', 'close', 20)} as bm, {_f('stddev_samp', 'close', 20)} as bs, {_rank_sql(720, 168)} as r30, {_rank_sql(2160, 720)} as r90 from bars)
+select symbol, ts, round(sma_24, 6) as sma_24, round(sma_168, 6) as sma_168, round(close - p24, 6) as change_24, round((close / nullif(p24, 0) - 1) * 100, 6) as roc_24, round((close - m) / nullif(s, 0), 6) as zscore_30d,
+  round(bm + 2.0 * bs, 6) as bb_upper, round(bm - 2.0 * bs, 6) as bb_lower, round((close - (bm - 2.0 * bs)) / nullif(4.0 * bs, 0), 6) as bb_pct_b, round(r30, 6) as percentile_30d, round(r90, 6) as percentile_90d from x""")
+def volatility_index(spark, d):
+    bars = hourly(spark, d, "15m")
+    ranks = K.add_rank(bars, "close", {"percentile_30d": (720, 168), "percentile_90d": (2160, 720)}).drop("close")
+    name = _band(20, 2.0)
+    out = I.bollinger(I.z_score(I.momentum(I.sma(bars, [24, 168])), "close", 720, "zscore_30d"), 20, 2.0)
+    out = out.select("symbol", "ts", "sma_24", "sma_168", "change_24", "roc_24", "zscore_30d", *[F.col(f"{name}_{a}").alias(b) for a, b in (("upper", "bb_upper"), ("lower", "bb_lower"), ("percent_b", "bb_pct_b"))])
+    return rounded(out.join(ranks, ["symbol", "ts"]))

@@ -42,7 +42,7 @@ def option_volume(spark, d):
 _DAILY = "snaps as (select o_orderpriority as currency, date_trunc('day', o_orderdate) + interval '1 hour' * (count(*) % 3) as ts, sum(o_totalprice) as oi from orders group by o_orderpriority, date_trunc('day', o_orderdate))"
 
 
-@query(f"with {_DAILY} select s.currency, s.ts, round(s.oi, 2) as oi, round((select arg_max(p.oi, p.ts) from snaps p where p.currency = s.currency and p.ts <= s.ts - interval '24 hours' and p.ts >= s.ts - interval '48 hours'), 2) as oi_prev from snaps s")
+@query(f"with {_DAILY} select s.currency, s.ts, round(s.oi, 2) as oi, round((select arg_max(p.oi, p.ts) from snaps p where p.currency = s.currency and p.ts <= s.ts - interval '24 hours' and p.ts >= date_trunc('day', s.ts) - interval '24 hours'), 2) as oi_prev from snaps s")
 def option_change_24h(spark, d):
     day = F.window("o_orderdate", "1 day").start
     from tickloom.plans.base import table

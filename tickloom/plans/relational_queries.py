@@ -42,7 +42,15 @@ both("join_inner_keys", "select b.symbol, b.ts, round(b.close, 6) as close, roun
 both("join_aggregate", "select b.symbol, b.ts, round(b.close - s.avg_close, 6) as excess from bars b join stats s on b.symbol = s.symbol where b.close > s.avg_close", "stats as (select symbol, avg(close) as avg_close from bars group by symbol)")
 both("join_left_indicators", "select b.symbol, b.ts, round(b.close, 6) as close, round(i.sma_20, 6) as sma_20 from bars b left join (select * from ind where sma_20 > sma_50) i on b.symbol = i.symbol and b.ts = i.ts", IND)
 both("anti_left_null", "select c.c_custkey, c.c_name from customer c left join (select * from orders where o_totalprice > 280000) o on o.o_custkey = c.c_custkey where o.o_orderkey is null")
-both("anti_not_in", "select p_partkey, p_name from part where p_partkey not in (select l_partkey from lineitem where l_quantity > 45)")
+
+
+@query("select p_partkey, p_name from part where p_partkey not in (select l_partkey from lineitem where l_quantity > 45)")
+def anti_not_in(spark, d):
+    """Keys without NULLs: an anti join that shuffles or is broadcast by size, where NOT IN would always be broadcast."""
+    large = table(spark, d, "lineitem").where("l_quantity > 45 and l_partkey is not null").select(F.col("l_partkey").alias("p_partkey"))
+    return table(spark, d, "part").join(large, "p_partkey", "left_anti").select("p_partkey", "p_name")
+
+
 both("anti_not_exists", "select o.o_orderkey, o.o_custkey from orders o where not exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey and l.l_returnflag = 'R')")
 both("semi_membership", "select symbol, ts, round(close, 6) as close from bars where ts in (select ts from bars where symbol = 'purchase' and close > 100)")
 both("multi_timeframe", "select h.symbol, h.ts, round(h.close, 6) as close, round(d.day_close, 6) as day_close, case when h.close > d.day_close then 'above' else 'below' end as side from bars h join daily d on h.symbol = d.symbol and cast(h.ts as date) = d.day", "daily as (select symbol, cast(ts as date) as day, avg(close) as day_close from bars group by symbol, cast(ts as date))")
@@ -73,7 +81,7 @@ both("top_k", "select symbol, ts, round(high - low, 6) as span from bars order b
 
 # Windows.
 both("lags", "select symbol, ts, " + ", ".join(f"round(lag(close, {n}) {_L}, 6) as lag_{n}" for n in (1, 2, 5, 7, 10)) + " from bars")
-both("forward_returns", "select symbol, ts, " + ", ".join(f"round((lead(close, {n}) {_L} / nullif(close, 0) - 1) * 100, 6) as forward_{n}" for n in (24, 168)) + " from bars")
+both("forward_returns", "select symbol, ts, " + ", ".join(f"round((lead(close, {n}) {_L} / nullif(close, 0) - 1) * 100, 6) as forward_{n}" for n in (24, 168, 720)) + " from bars")
 both("forward_return_after_signal", "select symbol, ts, round(forward_24, 6) as forward_24 from (select *, (lead(close, 24) over (partition by symbol order by ts) / nullif(close, 0) - 1) * 100 as forward_24 from ind) where close < sma_20 * 0.5", IND)
 both("rolling_frames", "select symbol, ts, count(*) over w as n, round(max(high) over w, 6) as high_24, round(stddev_samp(close) over w, 6) as dev_24 from bars window w as (partition by symbol order by ts rows between 23 preceding and current row)")
 both("null_edges", "select symbol, ts from (select symbol, ts, sma_20, lag(sma_20) over (partition by symbol order by ts) as before, row_number() over (partition by symbol order by ts) as rn from ind) where sma_20 is not null and before is null", IND)

@@ -72,7 +72,8 @@ def zipped_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Typed rows of zipped CSV files with a header; lines that do not fit the schema are dropped."""
     lines = zipped_lines(spark, path)
     names = [c.split()[0] for c in schema.split(",")]
-    got = lines.where(~F.col("value").startswith(names[0])).select(F.from_csv("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    header = F.regexp_replace("value", '[ "]', "") == ",".join(names)
+    got = lines.where(~header & ~F.col("value").startswith(names[0] + ",")).select(F.from_csv("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
     return got.where(F.col(names[0]).isNotNull())
 
 
@@ -149,14 +150,17 @@ def paged_source(name: str, schema: str, fetch: Callable[[str, dt.datetime, dt.d
 
 
 def all_pages(fetch: Callable[[str | None], tuple[list[dict], str | None]], most: int = 500) -> list[dict]:
-    """Rows of a service that pages by cursor, continuation token or oldest time: fetch(cursor) returns rows and the next one."""
+    """Rows of a service that pages by cursor, continuation token or oldest time: fetch(cursor) returns rows and the next one.
+
+    Rows gather on the driver, so this is for lists such as instruments. More than `most` pages are an error, not cut off.
+    """
     rows, cursor = [], None
     for _ in range(most):
         part, cursor = fetch(cursor)
         rows += part
         if not part or cursor is None:
-            break
-    return rows
+            return rows
+    raise ValueError(f"more than {most} pages")
 
 
 def daily_series(spark: SparkSession, payload: str, path: str = "data") -> DataFrame:
