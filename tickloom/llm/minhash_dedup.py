@@ -186,21 +186,18 @@ def _led(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]
     """
     large, compared = large.withColumn("class", F.lit(None).cast("int")), []
     for turn in range(LEADS):
-        heads = large.where("class is null").groupBy("spot").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("weight", (-F.col("other")).alias("minus"))).alias("best"), F.first("many").alias("many"))
-        heads = materialize(heads.where(F.col("n") > FEW).select("spot", "many", (-F.col("best.minus")).alias("head")), "heads")
+        heads = large.where("class is null").groupBy("spot").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("weight", (-F.col("other")).alias("minus"))).alias("best"), F.first("many").alias("rows"))
+        heads = materialize(heads.where(F.col("n") > FEW).select("spot", "rows", (-F.col("best.minus")).alias("head")), "heads")
         if heads.isEmpty():
             break
-        names = [c for c in large.columns if c not in ("spot", "many", "class")]
-        met = materialize(join_counts(large.drop("many"), heads, "spot", "many", F.col("other"), "left"), "led")
+        names = [c for c in large.columns if c != "class"]
+        met = materialize(join_counts(large, heads, "spot", "rows", F.col("other"), "left"), "led")
         pairs = met.where("head is not null and class is null and head <> other").select(F.col("head").alias("lead"), "other").distinct()
         pairs = materialize(pairs.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs")
         compared.append(materialize(_against_leads(pairs, sets), "compared"))
         hits = compared[-1].where("linked").select(F.col("lead").alias("head"), "other", F.lit(True).alias("hit"))
-        if not turn:
-            many = materialize(large.groupBy("spot").agg(F.first("many").alias("many")), "sizes")
         known = F.when(F.col("class").isNull() & (F.coalesce("hit", F.lit(False)) | F.coalesce(F.col("head") == F.col("other"), F.lit(False))), turn).otherwise(F.col("class"))
-        classed = met.join(hits, ["head", "other"], "left").select("spot", *names, known.alias("class"))
-        large = materialize(join_counts(classed, many, "spot", "many", F.col("other")), "classed")
+        large = materialize(met.join(hits, ["head", "other"], "left").select(*names, known.alias("class")), "classed")
     return large, compared
 
 
