@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 RANK_ROWS = 8192
 #: A side with at most this many rows is broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 50_000
+#: Rows of one file of a written table whose size has a known bound.
+FILE_ROWS = 50_000
 #: Rows of one hot key that meet in one task.
 SALT_ROWS = 2048
 
@@ -47,10 +49,15 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own[sc.applicationId]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it again: lineage ends there, and lost executors lose nothing."""
+def materialize(df: DataFrame, name: str, most: int | None = None, rows: int = FILE_ROWS) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it again: lineage ends there, and lost executors lose nothing.
+
+    most: a bound on its rows, where one is known. A small table then has few files, one for each `rows` of the bound,
+    however many partitions its last shuffle has; for a large one that changes nothing.
+    """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    few = df if most is None else df.coalesce(max(1, math.ceil(most / rows)))
+    few.write.parquet(path)
     for scope in _scopes:
         scope.append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import SALT_ROWS, hottest, join_counts, materialize, release, scratch
 
 
-def _contract(links: DataFrame, large: bool) -> DataFrame:
+def _contract(links: DataFrame, large: bool, most: int) -> DataFrame:
     """One star operation on written (u, v) with u > v: neighbours are tied to the smallest of the neighbourhood.
 
     The minimum is a partial aggregate, and a hub's links are salted for the join back, so no hub is gathered in one task.
@@ -17,14 +17,14 @@ def _contract(links: DataFrame, large: bool) -> DataFrame:
     least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
     least = least.select("u", F.least("u", "m").alias("m"), "n")
     if hottest(both, "u") > SALT_ROWS:
-        least = materialize(least, "least")
+        least = materialize(least, "least", most)
         met = join_counts(both, least, "u", "n", F.col("v"))
     else:
         met = both.join(least, "u")
     tied = met.where("v > u" if large else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not large:
         tied = tied.union(least.select("u", F.col("m").alias("v")))
-    return materialize(tied.where("u <> v").distinct(), "links")
+    return materialize(tied.where("u <> v").distinct(), "links", most)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def components(links: DataFrame) -> DataFrame:
         was = seen
         before = now
         with scratch(spark) as kept:
-            now = _contract(_contract(before, True), False)
+            now = _contract(_contract(before, True, 2 * seen[0]), False, 4 * seen[0])
             kept.append(now)
         release(spark, before)
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

@@ -12,7 +12,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import SALT_ROWS, join_counts, materialize, python_ready, scratch
@@ -27,6 +27,8 @@ BANDS, BAND = 20, 4
 BLOCK = 4096
 #: A group of more members than this gets leads of its own, so often one after the other.
 FEW, LEADS = 32, 2
+#: Comparisons of one file.
+COMPARED = 2048
 #: Rows of one side of a group that meet the other side in one task.
 MEET = 256
 
@@ -167,15 +169,17 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _against_leads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Compare the written (lead, other, crowd, weight) on their full sets. A lead's set goes once to each of its salts."""
+    """Compare and write the written (lead, other, crowd, weight) on their full sets. A lead's set goes once to each of its salts."""
     spread = F.ceil(F.count(F.lit(1)).cast("double") / SALT_ROWS).cast("int")
-    leads = materialize(pairs.groupBy("lead").agg(spread.alias("salts"), F.count(F.lit(1)).alias("n")), "leads")
+    most = pairs.count()
+    leads = materialize(pairs.groupBy("lead").agg(spread.alias("salts"), F.count(F.lit(1)).alias("n")), "leads", most)
     none = F.lit(None).cast("long")
     own = leads.join(sets, leads.lead == sets.rep).select("lead", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), none.alias("other"), F.lit(False).alias("crowd"), none.alias("weight"), "shingles")
     salted = join_counts(pairs, leads, "lead", "n", F.col("other")).select("lead", F.pmod(F.xxhash64("other"), F.col("salts")).cast("int").alias("salt"), "other", "crowd", "weight")
     theirs = salted.join(sets, salted.other == sets.rep).select("lead", "salt", "other", "crowd", "weight", "shingles")
     rows = own.union(theirs).repartition("lead", "salt").sortWithinPartitions("lead", "salt", F.col("other").asc_nulls_first())
-    return rows.mapInArrow(_compared, "lead long, other long, weight long, n long, d long, linked boolean, tokens array<long>, short int")
+    compared = rows.mapInArrow(_compared, "lead long, other long, weight long, n long, d long, linked boolean, tokens array<long>, short int")
+    return materialize(compared, "compared", most, COMPARED)
 
 
 def _led(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
@@ -185,16 +189,17 @@ def _led(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]
     compared with it: those linked to it are a class. So each time is linear in the members.
     """
     large, compared = large.withColumn("class", F.lit(None).cast("int")), []
+    most = large.count()
     for turn in range(LEADS):
         heads = large.where("class is null").groupBy("spot").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("weight", (-F.col("other")).alias("minus"))).alias("best"), F.first("many").alias("rows"))
-        heads = materialize(heads.where(F.col("n") > FEW).select("spot", "rows", (-F.col("best.minus")).alias("head")), "heads")
+        heads = materialize(heads.where(F.col("n") > FEW).select("spot", "rows", (-F.col("best.minus")).alias("head")), "heads", most // FEW)
         if heads.isEmpty():
             break
         names = [c for c in large.columns if c != "class"]
-        met = materialize(join_counts(large, heads, "spot", "rows", F.col("other"), "left"), "led")
+        met = join_counts(large, heads, "spot", "rows", F.col("other"), "left")
         pairs = met.where("head is not null and class is null and head <> other").select(F.col("head").alias("lead"), "other").distinct()
-        pairs = materialize(pairs.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs")
-        compared.append(materialize(_against_leads(pairs, sets), "compared"))
+        pairs = materialize(pairs.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs", most)
+        compared.append(_against_leads(pairs, sets))
         hits = compared[-1].where("linked").select(F.col("lead").alias("head"), "other", F.lit(True).alias("hit"))
         known = F.when(F.col("class").isNull() & (F.coalesce("hit", F.lit(False)) | F.coalesce(F.col("head") == F.col("other"), F.lit(False))), turn).otherwise(F.col("class"))
         large = materialize(met.join(hits, ["head", "other"], "left").select(*names, known.alias("class")), "classed")
@@ -209,18 +214,19 @@ def _further(rows: DataFrame, sets: DataFrame) -> list[DataFrame]:
     """
     crowd = rows.where("tokens is not null")
     crowds = crowd.groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("whole"))
-    crowds = materialize(crowds.where("size > 1 and not whole").select("lead", "size"), "crowds")
+    crowds = materialize(crowds.where("size > 1 and not whole").select("lead", "size"), "crowds", rows.count())
     if crowds.isEmpty():
         return []
     members = join_counts(crowd, crowds, "lead", "size", F.col("other"))
+    most = members.agg(F.sum(F.size("tokens"))).first()[0] or 0
     places = members.select("lead", "other", "weight", "n", "d", (~F.col("linked")).alias("far"), "short", F.posexplode("tokens").alias("i", "token"))
     places = places.select(F.xxhash64("lead", "token").alias("spot"), "other", "weight", "n", "d", "i", "far", (F.col("i") < F.col("short")).alias("near"))
     spots = places.groupBy("spot").agg(F.count(F.lit(1)).alias("many"), F.count_if("far").alias("fars"), F.count_if("near").alias("nears"))
-    spots = materialize(spots.where("many > 1 and fars > 0 and nears > 0").select("spot", "many"), "spots")
-    at = materialize(join_counts(places, spots, "spot", "many", F.col("other")), "meets")
+    spots = materialize(spots.where("many > 1 and fars > 0 and nears > 0").select("spot", "many"), "spots", most // 2)
+    at = materialize(join_counts(places, spots, "spot", "many", F.col("other")), "meets", most)
     large, compared = _led(at.where(F.col("many") > FEW), sets)
     classes = large.groupBy("spot").agg(F.first("many").alias("many"), (F.coalesce(F.min("class") == F.max("class"), F.lit(False)) & (F.count("class") == F.count(F.lit(1)))).alias("one"))
-    mixed = materialize(classes.where("not one").select("spot", "many"), "mixed")
+    mixed = materialize(classes.where("not one").select("spot", "many"), "mixed", most // FEW)
     rest = join_counts(large.drop("many"), mixed, "spot", "many", F.col("other"))
     every = rest.unionByName(at.where(F.col("many") <= FEW).withColumn("class", F.lit(None).cast("int")))
     salts = F.ceil(F.col("many") / MEET).cast("int")
@@ -230,7 +236,7 @@ def _further(rows: DataFrame, sets: DataFrame) -> list[DataFrame]:
     enough = F.expr(f"x <> y and coalesce(cx <> cy, true) and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny)")
     near = one.join(two, ["spot", "salt"]).where(enough).select(F.least("x", "y").alias("lead"), F.greatest("x", "y").alias("other")).distinct()
     pairs = materialize(near.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs")
-    return [*compared, materialize(_against_leads(pairs, sets), "compared")]
+    return [*compared, _against_leads(pairs, sets)]
 
 
 def row_key() -> Column:
@@ -290,30 +296,30 @@ def _ends(texts: DataFrame, base: DataFrame) -> DataFrame:
     reps = base.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"))
     reps = materialize(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
     spots = reps.select("rep", F.explode("bands").alias("bucket"))
-    shared = materialize(spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    members = materialize(join_counts(spots, shared, "bucket", "size", F.col("rep")), "members")
-    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    members = materialize(members.join(weight, "rep"), "members")
+    most = reps.count()
+    shared = materialize(spots.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets", BANDS * most // 2)
+    weight = F.sum("size").over(Window.partitionBy("rep"))  # of at most BANDS rows
+    members = materialize(join_counts(spots, shared, "bucket", "size", F.col("rep")).withColumn("weight", weight), "members", BANDS * most)
     lead = members.groupBy("bucket").agg(F.max(F.struct(F.col("weight"), (-F.col("rep")).alias("minus"))).alias("best"), F.first("size").alias("size"))
-    lead = materialize(lead.select("bucket", (-F.col("best.minus")).alias("lead"), "size"), "bucket-leads")
+    lead = materialize(lead.select("bucket", (-F.col("best.minus")).alias("lead"), "size"), "bucket-leads", shared.count())
     met = join_counts(members.select("rep", "bucket", "weight"), lead, "bucket", "size", F.col("rep")).where("rep <> lead")
     pairs = met.groupBy("lead", F.col("rep").alias("other")).agg(F.max(F.col("size") > 2).alias("crowd"), F.max("weight").alias("weight"))
-    pairs = materialize(pairs, "pairs")
-    wanted = members.select("rep").distinct().join(reps.select("rep", "set_key", "row"), "rep")
-    wanted = materialize(base.groupBy("row").agg(F.count(F.lit(1)).alias("times")).join(wanted, "row"), "wanted")
-    sets = join_counts(texts.select("row", "text"), wanted, "row", "times", F.xxhash64("text")).select("rep", "set_key", "text")
+    pairs = materialize(pairs, "pairs", members.count())
+    wanted = members.select("rep").distinct().join(reps.select("rep", "set_key", "row", "copies"), "rep")
+    wanted = materialize(wanted, "wanted", most)  # a row occurs at most as often as its set
+    sets = join_counts(texts.select("row", "text"), wanted, "row", "copies", F.xxhash64("text")).select("rep", "set_key", "text")
     sets = materialize(sets.mapInArrow(_sets, "rep long, shingles binary").dropDuplicates(["rep"]), "shingles")
-    compared = materialize(_against_leads(pairs, sets), "compared")
+    compared = _against_leads(pairs, sets)
     links = None
     for part in [compared, *_further(compared, sets)]:
         part = part.where("linked").select(F.col("lead").alias("u"), F.col("other").alias("v"))
         links = part if links is None else links.union(part)
     labels = components(links).withColumnRenamed("id", "rep")
     least = labels.join(reps.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("label"), F.count(F.lit(1)).alias("n"))
-    labels = join_counts(labels, materialize(least, "labels"), "component", "n", F.col("rep"))
+    labels = join_counts(labels, materialize(least, "labels", most), "component", "n", F.col("rep"))
     component_id = F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("label"))
     ends = reps.select("rep", "set_key", "copies", "least").join(labels, "rep", "left")
-    return materialize(ends.select("set_key", "copies", F.coalesce("component", "rep").alias("root"), component_id.alias("component_id")), "ends")
+    return materialize(ends.select("set_key", "copies", F.coalesce("component", "rep").alias("root"), component_id.alias("component_id")), "ends", most)
 
 
 ORACLE = r"""
