@@ -599,3 +599,39 @@ def test_neighbours_of_one_hot_id(spark, monkeypatch):
     assert got == {(r.doc_id, r.text): order[(i + 1) % len(order)].text for i, r in enumerate(order)}
     placed, _ = imatch._bucketed(df.select("doc_id", "text"))
     assert max(r["count"] for r in rows(placed.groupBy("bucket").count())) < 200
+
+
+def test_sketches_differ_in_no_more_bits_than_their_sets_in_elements():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 20, 300):
+        x, y = (rng.integers(0, 2**64, n, dtype=np.uint64) for _ in range(2))
+        both = rng.integers(0, 2**64, 200, dtype=np.uint64)
+        a, b = (minhash_dedup.sketch(np.concatenate([both, z]), 4).view(np.uint64) for z in (x, y))
+        bits = sum(int(v).bit_count() for v in a ^ b)
+        assert bits <= 2 * n and (bits == 2 * n or n > 1) and (n < 300 or bits > 90)
+
+
+def test_unlike_variants_of_one_text_are_not_compared(spark, monkeypatch):
+    compared = []
+    real = minhash_dedup._against_leads
+
+    def counting(pairs, sets):
+        compared.append(pairs.count())
+        return real(pairs, sets)
+
+    monkeypatch.setattr(minhash_dedup, "_against_leads", counting)
+    rng = np.random.default_rng(8)
+    base = [f"t{i}" for i in range(150)]
+    base[70] = "lead"  # most variants differ from the lead at least here
+    texts = [" ".join(base)]
+    for i in range(300):
+        w = [*base[:70], "t70", *base[71:]]
+        for j in rng.choice(150, int(rng.integers(3, 8)), replace=False):
+            w[j] = f"e{i}x{j}"
+        texts.append(" ".join(w))
+    ids = list(range(len(texts)))
+    got = {r.doc_id: r.component_id for r in rows(minhash_dedup.near_duplicates(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")))}
+    sets = brute_sets(texts)
+    assert [got[i] for i in ids] == brute_components(ids, sets)
+    alike = sum(100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]) for i in ids for j in range(i))
+    assert compared[-1] <= 2 * alike + 100, (compared, alike)

@@ -31,6 +31,8 @@ FEW, LEADS = 32, 2
 COMPARED = 2048
 #: Rows of one side of a group that meet the other side in one task.
 MEET = 256
+#: 64-bit words of a sketch: one for each 64 elements of the lead's set, but at least and at most so many.
+SKETCH = 2, 16
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -132,6 +134,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.large_binary()).cast(pa.binary())], ["rep", "shingles"])
 
 
+def sketch(elements: np.ndarray, words: int) -> np.ndarray:
+    """Which of 64 * words cells hold an odd number of the elements.
+
+    The sketches of two sets differ in at most as many bits as the sets differ in elements: what both hold cancels out.
+    """
+    odd = np.bincount((elements % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each pair's exact comparison. Rows come sorted: a lead's own set, then the sets of its pairs; one lead set is held.
 
@@ -154,7 +165,7 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = int(shared.sum())
             d = len(s) + len(held) - 2 * both
             linked = 100 * both >= SIMILAR * (len(s) + len(held) - both)
-            tokens, short = None, 0
+            tokens, short, cells = None, 0, None
             if crowd:
                 away = (100 - SIMILAR) * len(s) // SIMILAR  # at most so many elements are in only one of two similar sets
                 lacking = np.ones(len(held), bool)
@@ -162,10 +173,11 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 order = np.concatenate([s[~shared], held[lacking]])
                 short = min(d, away + 1, d - -(-d * SIMILAR // (100 + SIMILAR)) + 1) if d else 0
                 tokens = order[: short if linked else min(d, away + 1)].view(np.int64)
-            rows.append((lead, other, weight, len(s), d, linked, tokens, short))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.int32()]
+                cells = sketch(order, min(max(SKETCH[0], -(-len(held) // 64)), SKETCH[1]))
+            rows.append((lead, other, weight, len(s), d, linked, tokens, short, cells))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64())]
         columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lead", "other", "weight", "n", "d", "linked", "tokens", "short"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lead", "other", "weight", "n", "d", "linked", "tokens", "short", "sketch"])
 
 
 def _against_leads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -178,7 +190,7 @@ def _against_leads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     salted = join_counts(pairs, leads, "lead", "n", F.col("other")).select("lead", F.pmod(F.xxhash64("other"), F.col("salts")).cast("int").alias("salt"), "other", "crowd", "weight")
     theirs = salted.join(sets, salted.other == sets.rep).select("lead", "salt", "other", "crowd", "weight", "shingles")
     rows = own.union(theirs).repartition("lead", "salt").sortWithinPartitions("lead", "salt", F.col("other").asc_nulls_first())
-    compared = rows.mapInArrow(_compared, "lead long, other long, weight long, n long, d long, linked boolean, tokens array<long>, short int")
+    compared = rows.mapInArrow(_compared, "lead long, other long, weight long, n long, d long, linked boolean, tokens array<long>, short int, sketch array<long>")
     return materialize(compared, "compared", most, COMPARED)
 
 
@@ -210,7 +222,7 @@ def _further(rows: DataFrame, sets: DataFrame) -> list[DataFrame]:
     """Compare the members of the leads' groups as far as linked() asks for.
 
     rows: the comparisons with the leads. Members are dealt by (lead, token). Those of a group that are not of one class (see
-    _led) are paired and filtered by what overlap is still possible; a large group's pairs are salted.
+    _led) are paired and filtered by what overlap is still possible and by their sketches; a large group's pairs are salted.
     """
     crowd = rows.where("tokens is not null")
     crowds = crowd.groupBy("lead").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("whole"))
@@ -219,8 +231,8 @@ def _further(rows: DataFrame, sets: DataFrame) -> list[DataFrame]:
         return []
     members = join_counts(crowd, crowds, "lead", "size", F.col("other"))
     most = members.agg(F.sum(F.size("tokens"))).first()[0] or 0
-    places = members.select("lead", "other", "weight", "n", "d", (~F.col("linked")).alias("far"), "short", F.posexplode("tokens").alias("i", "token"))
-    places = places.select(F.xxhash64("lead", "token").alias("spot"), "other", "weight", "n", "d", "i", "far", (F.col("i") < F.col("short")).alias("near"))
+    places = members.select("lead", "other", "weight", "n", "d", (~F.col("linked")).alias("far"), "short", "sketch", F.posexplode("tokens").alias("i", "token"))
+    places = places.select(F.xxhash64("lead", "token").alias("spot"), "other", "weight", "n", "d", "sketch", "i", "far", (F.col("i") < F.col("short")).alias("near"))
     spots = places.groupBy("spot").agg(F.count(F.lit(1)).alias("many"), F.count_if("far").alias("fars"), F.count_if("near").alias("nears"))
     spots = materialize(spots.where("many > 1 and fars > 0 and nears > 0").select("spot", "many"), "spots", most // 2)
     at = materialize(join_counts(places, spots, "spot", "many", F.col("other")), "meets", most)
@@ -230,10 +242,11 @@ def _further(rows: DataFrame, sets: DataFrame) -> list[DataFrame]:
     rest = join_counts(large.drop("many"), mixed, "spot", "many", F.col("other"))
     every = rest.unionByName(at.where(F.col("many") <= FEW).withColumn("class", F.lit(None).cast("int")))
     salts = F.ceil(F.col("many") / MEET).cast("int")
-    one = every.where("far").select("spot", F.pmod(F.xxhash64("other"), salts).cast("int").alias("salt"), F.col("other").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), "i", F.col("class").alias("cx"))
-    two = every.where("near").select("spot", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("other").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("i").alias("j"), F.col("class").alias("cy"))
+    one = every.where("far").select("spot", F.pmod(F.xxhash64("other"), salts).cast("int").alias("salt"), F.col("other").alias("x"), F.col("n").alias("nx"), F.col("d").alias("dx"), F.col("sketch").alias("sx"), "i", F.col("class").alias("cx"))
+    two = every.where("near").select("spot", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("other").alias("y"), F.col("n").alias("ny"), F.col("d").alias("dy"), F.col("sketch").alias("sy"), F.col("i").alias("j"), F.col("class").alias("cy"))
     least, most = 100 - SIMILAR, 100 + SIMILAR
-    enough = F.expr(f"x <> y and coalesce(cx <> cy, true) and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny)")
+    apart = "aggregate(zip_with(sx, sy, (a, b) -> bit_count(a ^ b)), 0, (sum, n) -> sum + n)"  # or more: see sketch
+    enough = F.expr(f"x <> y and coalesce(cx <> cy, true) and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny) and {most} * {apart} <= {least} * (nx + ny)")
     near = one.join(two, ["spot", "salt"]).where(enough).select(F.least("x", "y").alias("lead"), F.greatest("x", "y").alias("other")).distinct()
     pairs = materialize(near.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs")
     return [*compared, _against_leads(pairs, sets)]
@@ -276,7 +289,8 @@ def linked(docs: DataFrame) -> DataFrame:
     - dx and dy must share more than |dy| * (1 - c) / 2 elements, so the first |dy| * (1 + c) / 2 + 1 of dy must meet dx;
     - at most 15/85 |x| elements of dx are outside dy, so the first 15/85 |x| + 1 of dx must meet those of dy;
     - at the first shared element, what remains of both must suffice for the overlap that is required.
-    All three hold for every similar pair, so x and y meet at some (lead, token). A large group there, such as a cluster of
+    - the sketches of dx and dy differ in at most |x ^ y| bits.
+    All four hold for every similar pair, so x and y meet at some (lead, token). A large group there, such as a cluster of
     copies that is unlike the lead, gets leads of its own; members linked to one of them are in one component, and only the
     others are paired. So none is lost, and a cluster is compared with its lead, not with itself.
     """
