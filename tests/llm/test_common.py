@@ -29,6 +29,15 @@ def test_skewed_joins_lose_nothing(spark, monkeypatch, broadcast):
     assert sorted(map(tuple, got.select("id", "k", "size", "most").collect())) == sorted(map(tuple, want.collect()))
 
 
+@pytest.mark.parametrize("most", [64, 2**25])
+def test_sifting_loses_nothing(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "BLOOM_MOST", most)
+    wanted = spark.range(0, 20_000, 40)
+    got = {r.id for r in common.sift(spark.range(20_000), "id", wanted, 500).collect()}
+    assert got >= set(range(0, 20_000, 40)) and (len(got) < 500 + 0.03 * 20_000 or most == 64)
+    assert common.sift(spark.range(100), "id", wanted.where("id < 0"), 0).count() == 0
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 200), (300, 200), (7, 7)] + [(1000, 1000 + i) for i in range(1, 30)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}

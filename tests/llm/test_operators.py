@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -635,3 +636,24 @@ def test_unlike_variants_of_one_text_are_not_compared(spark, monkeypatch):
     assert [got[i] for i in ids] == brute_components(ids, sets)
     alike = sum(100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]) for i in ids for j in range(i))
     assert compared[-1] <= 2 * alike + 100, (compared, alike)
+
+
+def test_near_duplicates_shuffle_only_texts_that_share_a_bucket(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"{x:08x}" for x in rng.integers(0, 2**32, 400)) for _ in range(600)]
+    texts += [t + " more" for t in texts[:20]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).localCheckpoint()
+
+    def written():
+        time.sleep(2)
+        return spark._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = written()
+        got = rows(minhash_dedup.near_duplicates(docs))
+        moved = written() - before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(not r.kept for r in got) == 20 and len(got) == 620
+    assert moved < 0.7 * sum(map(len, texts)), moved

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import SALT_ROWS, join_counts, materialize, python_ready, scratch
+from tickloom.llm.common import SALT_ROWS, join_counts, materialize, python_ready, scratch, sift
 from tickloom.llm.graph import components
 
 WORDS = 5
@@ -125,13 +125,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, blobs = [], []
-        for rep, key, text in zip(batch.column("rep").to_pylist(), batch.column("set_key").to_pylist(), batch.column("text"), strict=True):
-            s = shingle_set(text.as_py())
-            if set_key(s) == key:
-                ids.append(rep)
-                blobs.append(s.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.large_binary()).cast(pa.binary())], ["rep", "shingles"])
+        sets = [shingle_set(text.as_py()) for text in batch.column("text")]
+        keys, blobs = pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.large_binary()).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("row"), keys, blobs], ["row", "own_key", "shingles"])
 
 
 def sketch(elements: np.ndarray, words: int) -> np.ndarray:
@@ -194,6 +190,12 @@ def _against_leads(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(compared, "compared", most, COMPARED)
 
 
+def _again(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """_against_leads for pairs of some of the sets: only those are shuffled."""
+    ids = pairs.select("lead").union(pairs.select("other"))
+    return _against_leads(pairs, sift(sets, "rep", ids, 2 * pairs.count()))
+
+
 def _led(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Give groups leads of their own: large (spot, many, other, weight, ...) with class, and the comparisons made.
 
@@ -211,7 +213,7 @@ def _led(large: DataFrame, sets: DataFrame) -> tuple[DataFrame, list[DataFrame]]
         met = join_counts(large, heads, "spot", "rows", F.col("other"), "left")
         pairs = met.where("head is not null and class is null and head <> other").select(F.col("head").alias("lead"), "other").distinct()
         pairs = materialize(pairs.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs", most)
-        compared.append(_against_leads(pairs, sets))
+        compared.append(_again(pairs, sets))
         hits = compared[-1].where("linked").select(F.col("lead").alias("head"), "other", F.lit(True).alias("hit"))
         known = F.when(F.col("class").isNull() & (F.coalesce("hit", F.lit(False)) | F.coalesce(F.col("head") == F.col("other"), F.lit(False))), turn).otherwise(F.col("class"))
         large = materialize(met.join(hits, ["head", "other"], "left").select(*names, known.alias("class")), "classed")
@@ -235,7 +237,8 @@ def _further(rows: DataFrame, sets: DataFrame) -> list[DataFrame]:
     places = places.select(F.xxhash64("lead", "token").alias("spot"), "other", "weight", "n", "d", "sketch", "i", "far", (F.col("i") < F.col("short")).alias("near"))
     spots = places.groupBy("spot").agg(F.count(F.lit(1)).alias("many"), F.count_if("far").alias("fars"), F.count_if("near").alias("nears"))
     spots = materialize(spots.where("many > 1 and fars > 0 and nears > 0").select("spot", "many"), "spots", most // 2)
-    at = materialize(join_counts(places, spots, "spot", "many", F.col("other")), "meets", most)
+    likely = sift(places, "spot", spots.select("spot"), spots.count())
+    at = materialize(join_counts(likely, spots, "spot", "many", F.col("other")), "meets", most)
     large, compared = _led(at.where(F.col("many") > FEW), sets)
     classes = large.groupBy("spot").agg(F.first("many").alias("many"), (F.coalesce(F.min("class") == F.max("class"), F.lit(False)) & (F.count("class") == F.count(F.lit(1)))).alias("one"))
     mixed = materialize(classes.where("not one").select("spot", "many"), "mixed", most // FEW)
@@ -249,7 +252,7 @@ def _further(rows: DataFrame, sets: DataFrame) -> list[DataFrame]:
     enough = F.expr(f"x <> y and coalesce(cx <> cy, true) and 100 * least(nx, ny) >= {SIMILAR} * greatest(nx, ny) and {2 * most} * least(dx - i, dy - j) >= {most} * (dx + dy) - {least} * (nx + ny) and {most} * {apart} <= {least} * (nx + ny)")
     near = one.join(two, ["spot", "salt"]).where(enough).select(F.least("x", "y").alias("lead"), F.greatest("x", "y").alias("other")).distinct()
     pairs = materialize(near.withColumns({"crowd": F.lit(False), "weight": F.lit(0).cast("long")}), "pairs")
-    return [*compared, _against_leads(pairs, sets)]
+    return [*compared, _again(pairs, sets)]
 
 
 def row_key() -> Column:
@@ -321,8 +324,9 @@ def _ends(texts: DataFrame, base: DataFrame) -> DataFrame:
     pairs = materialize(pairs, "pairs", members.count())
     wanted = members.select("rep").distinct().join(reps.select("rep", "set_key", "row", "copies"), "rep")
     wanted = materialize(wanted, "wanted", most)  # a row occurs at most as often as its set
-    sets = join_counts(texts.select("row", "text"), wanted, "row", "copies", F.xxhash64("text")).select("rep", "set_key", "text")
-    sets = materialize(sets.mapInArrow(_sets, "rep long, shingles binary").dropDuplicates(["rep"]), "shingles")
+    likely = sift(texts.select("row", "text"), "row", wanted.select("row"), most).mapInArrow(_sets, "row binary, own_key binary, shingles binary")
+    sets = join_counts(likely, wanted, "row", "copies", F.xxhash64("row")).where("own_key = set_key")
+    sets = materialize(sets.dropDuplicates(["row", "own_key"]).select("rep", "shingles"), "shingles")
     compared = _against_leads(pairs, sets)
     links = None
     for part in [compared, *_further(compared, sets)]:
